@@ -23,7 +23,7 @@ def listing(spark, sf):
         F.floor(F.timestamp_diff("MICROSECOND", F.col("ts").cast("timestamp_ntz"), age) / (3_600_000_000 * HOURS)).cast("int").alias("page"),
         F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("url"),
         F.col("user_id").cast("string").alias("author"),
-        F.when(F.col("value") > 200, F.lit("2023-12-01").cast("date")).otherwise(F.to_date("ts")).alias("date"),
+        F.when(F.col("value") > 300, F.lit("2023-12-01").cast("date")).otherwise(F.to_date("ts")).alias("date"),
         (F.col("value") < 5).alias("failed"),
         F.col("value").alias("value"),
         "ts", "event_id",
@@ -33,14 +33,14 @@ def listing(spark, sf):
     return df.withColumn("pos", F.row_number().over(w)).drop("ts", "event_id")
 
 
-def marked(spark, sf):
-    return cutoff.mark(listing(spark, sf), SINCE, UNTIL)
+def marked(spark, sf, until=UNTIL):
+    return cutoff.mark(listing(spark, sf), SINCE, until)
 
 
 LIST_SQL = (
     "l0 AS (SELECT event_type AS source, CASE WHEN user_id < 75 THEN 'news' ELSE 'publications' END AS section, "
     f"CAST(floor(date_diff('microsecond', CAST(ts AS TIMESTAMP), TIMESTAMP '2024-02-01') / {3_600_000_000 * HOURS}.0) AS INTEGER) AS page, "
-    "'e' || event_id AS url, CAST(user_id AS VARCHAR) AS author, CASE WHEN value > 200 THEN DATE '2023-12-01' ELSE CAST(ts AS DATE) END AS date, "
+    "'e' || event_id AS url, CAST(user_id AS VARCHAR) AS author, CASE WHEN value > 300 THEN DATE '2023-12-01' ELSE CAST(ts AS DATE) END AS date, "
     "value < 5 AS failed, value, ts, event_id FROM events), "
     "l1 AS (SELECT *, row_number() OVER (PARTITION BY source, section, page ORDER BY ts DESC, event_id) AS pos, "
     f"date < DATE '{SINCE}' AS old, date > DATE '{UNTIL}' AS skip FROM l0), "
@@ -52,9 +52,10 @@ def _rows(df):
     return cutoff.cut(df).select("source", "section", "url")
 
 
-def _sql(stop, at="n", extra=""):
+def _sql(stop, at="n", extra="", until=UNTIL):
+    rows = LIST_SQL if until else LIST_SQL.replace(f"date > DATE '{UNTIL}' AS skip", "false AS skip")
     return (
-        f"WITH {LIST_SQL}, {stop} SELECT source, section, url FROM l LEFT JOIN stops USING (source, section) "
+        f"WITH {rows}, {stop} SELECT source, section, url FROM l LEFT JOIN stops USING (source, section) "
         f"WHERE NOT old AND NOT skip {extra} AND (stop IS NULL OR {at})"
     )
 
@@ -102,17 +103,17 @@ def _pages_sql(good, k):
     )
 
 
-@query("cut_stale_pages", _sql(_pages_sql(f"date BETWEEN DATE '{SINCE}' AND DATE '{UNTIL}' AND value > 40", 3), "page <= stop"))
+@query("cut_stale_pages", _sql(_pages_sql(f"date >= DATE '{SINCE}' AND value > 100", 3), "page <= stop", until=None))
 def cut_stale_pages(spark, sf):
     # rows that the source rule leaves out do not make a page recent
-    df = marked(spark, sf)
-    usable = F.col("date").isNotNull() & ~F.col("old") & ~F.col("skip") & (F.col("value") > 40)
+    df = marked(spark, sf, None)
+    usable = F.col("date").isNotNull() & ~F.col("old") & ~F.col("skip") & (F.col("value") > 100)
     return _rows(cutoff.unproductive(df, usable, 3))
 
 
-@query("cut_stale_pages_plain", _sql(_pages_sql(f"date BETWEEN DATE '{SINCE}' AND DATE '{UNTIL}'", 3), "page <= stop"))
+@query("cut_stale_pages_plain", _sql(_pages_sql(f"date >= DATE '{SINCE}'", 3), "page <= stop", until=None))
 def cut_stale_pages_plain(spark, sf):
-    return _rows(cutoff.stale_pages(marked(spark, sf), 3))
+    return _rows(cutoff.stale_pages(marked(spark, sf, None), 3))
 
 
 @query("cut_unproductive_range", _sql(_pages_sql(f"skip OR (date BETWEEN DATE '{SINCE}' AND DATE '{UNTIL}')", 1), "page <= stop"))
@@ -121,10 +122,10 @@ def cut_unproductive_range(spark, sf):
     return _rows(cutoff.unproductive(marked(spark, sf), good, 1))
 
 
-@query("cut_unproductive_text", _sql(_pages_sql("NOT old AND NOT skip AND NOT failed", 2), "page <= stop"))
+@query("cut_unproductive_text", _sql(_pages_sql("NOT old AND NOT skip AND NOT failed AND value > 60", 2), "page <= stop", until=None))
 def cut_unproductive_text(spark, sf):
-    good = ~F.col("old") & ~F.col("skip") & ~F.col("failed")
-    return _rows(cutoff.unproductive(marked(spark, sf), good, 2))
+    good = ~F.col("old") & ~F.col("skip") & ~F.col("failed") & (F.col("value") > 60)
+    return _rows(cutoff.unproductive(marked(spark, sf, None), good, 2))
 
 
 NEW_SQL = (
@@ -137,11 +138,11 @@ NEW_SQL = (
     NEW_SQL + "p AS (SELECT source, section, page, bool_or(is_new) AS good FROM f GROUP BY ALL), "
     "stops AS (SELECT source, section, min(page) AS stop FROM p WHERE NOT good GROUP BY ALL) "
     "SELECT source, section, url FROM l LEFT JOIN stops USING (source, section) "
-    "WHERE NOT old AND NOT skip AND (stop IS NULL OR page <= stop)",
+    "WHERE NOT old AND (stop IS NULL OR page <= stop)",
 )
 def cut_seen_pages(spark, sf):
     """Stop on a page without an author not met before."""
-    df = cutoff.first_seen(marked(spark, sf), key="author")
+    df = cutoff.first_seen(marked(spark, sf, None), key="author")
     return _rows(cutoff.unproductive(df, F.col("is_new"), 1))
 
 

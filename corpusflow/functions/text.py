@@ -25,15 +25,6 @@ ENTITIES = [
 ]
 
 
-def let(c: Column, body) -> Column:
-    """body(c) with c evaluated once.
-
-    A Column used twice in an expression is computed twice, and nested functions
-    multiply that; binding it as a lambda variable avoids it.
-    """
-    return F.get(F.transform(F.array(c), body), F.lit(0))
-
-
 def computed(df: DataFrame, **columns: Column) -> DataFrame:
     """Add costly columns as a one-row inline.
 
@@ -54,15 +45,18 @@ def is_blank(c: Column) -> Column:
     return F.coalesce(trim_ws(c) == "", F.lit(True))
 
 
+def contains_any_sql(x: str, terms) -> str:
+    return "(" + (" OR ".join(f"contains({x}, {lit(t)})" for t in terms) or "false") + ")"
+
+
 def contains_any(c: Column, terms) -> Column:
     """True where any term is a substring; no word boundaries. False without terms."""
-    tests = [F.contains(c, F.lit(t)) for t in terms]
-    return reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
+    return apply(c, lambda v: contains_any_sql(v, terms))
 
 
-def count_present(c: Column, terms) -> Column:
+def count_present_sql(x: str, terms) -> str:
     """How many of the terms occur at least once."""
-    return reduce(lambda a, b: a + b, [F.contains(c, F.lit(t)).cast("int") for t in terms])
+    return "(" + " + ".join(f"CAST(contains({x}, {lit(t)}) AS INT)" for t in terms) + ")"
 
 
 def trim_sql(x: str) -> str:
@@ -141,4 +135,5 @@ def strip_literals(c: Column, literals) -> Column:
 
 def first_present(*cols: Column) -> Column:
     """First column that is not blank, else NULL."""
-    return F.coalesce(*[let(c, lambda v: F.when(~is_blank(v), v)) for c in cols])
+    picks = [apply(c, lambda v: f"CASE WHEN {trim_sql(v)} <> '' THEN {v} END") for c in cols]
+    return F.coalesce(*picks)

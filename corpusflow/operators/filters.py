@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions.text import computed, contains_any, count_present, is_blank, let
+from ..functions.sql import apply, bind, lit
+from ..functions.text import computed, contains_any, contains_any_sql, count_present_sql, is_blank
 
 
 def drop_blank(df: DataFrame, col: str = "text") -> DataFrame:
@@ -22,9 +23,9 @@ def is_title_rejected(title: Column, exclude=None, include=None) -> Column:
     """Has an exclude term and no include term. Substrings, any case; a NULL title passes."""
     exclude = rules.TITLE_EXCLUDE if exclude is None else exclude
     include = rules.TITLE_INCLUDE if include is None else include
-    return let(
+    return apply(
         F.lower(F.coalesce(title, F.lit(""))),
-        lambda t: contains_any(t, exclude) & ~contains_any(t, include),
+        lambda t: f"{contains_any_sql(t, exclude)} AND NOT {contains_any_sql(t, include)}",
     )
 
 
@@ -42,7 +43,7 @@ def title_rejects(
 def skip_titles(df: DataFrame, patterns, col: str = "title") -> DataFrame:
     """Drop administrative titles."""
     lowered = F.lower(F.coalesce(F.col(col), F.lit("")))
-    return df.filter(~let(lowered, lambda t: contains_any(t, patterns)))
+    return df.filter(~contains_any(lowered, patterns))
 
 
 def date_range(df: DataFrame, since=None, until=None, col: str = "date") -> DataFrame:
@@ -83,22 +84,24 @@ def language(
     the first named on a tie.
     """
     lists = {"ga": (rules.IRISH_TERMS, rules.IRISH_THRESHOLD)} if lists is None else lists
-    names = F.array(*[F.lit(lang) for lang in lists])
+    names = "array(" + ", ".join(lit(lang) for lang in lists) + ")"
 
-    def reached(count, need):
-        return let(count, lambda v: F.when(v >= need, v).otherwise(0))
+    def reached(t):
+        return ", ".join(
+            bind(count_present_sql(t, terms), lambda v, n=need: f"CASE WHEN {v} >= {n} THEN {v} ELSE 0 END")
+            for terms, need in lists.values()
+        )
 
-    def scores(t):
-        return F.array(*[reached(count_present(t, terms), need) for terms, need in lists.values()])
-
-    def pick(s):
-        at = F.array_position(s, F.array_max(s)).cast("int")
-        return F.when(F.array_max(s) > 0, F.element_at(names, at)).otherwise(default)
+    def pick(t):
+        return bind(
+            f"array({reached(t)})",
+            lambda s: f"CASE WHEN array_max({s}) > 0 THEN element_at({names}, "
+            f"CAST(array_position({s}, array_max({s})) AS INT)) ELSE {lit(default)} END",
+        )
 
     # a NULL text has no length; it gets the default as well
-    return F.when(F.coalesce(F.length(text), F.lit(0)) < min_chars, default).otherwise(
-        let(let(F.lower(text), scores), pick)
-    )
+    short = F.coalesce(F.length(text), F.lit(0)) < min_chars
+    return F.when(short, default).otherwise(apply(F.lower(text), pick))
 
 
 def flag_language(df: DataFrame, lists=None, col: str = "text", **options) -> DataFrame:

@@ -66,13 +66,17 @@ def validate_all(df: DataFrame, columns=ARTICLE_COLS, min_rows: int = 5) -> Data
     lacking = [c for c in columns if c not in df.columns]
     text = is_blank(F.col("text")) if "text" in df.columns else F.lit(True)
     one = df.agg(F.count("*").alias("n"), F.count(F.when(text, 1)).alias("n_blank"))
-    checks = F.array(
-        F.struct(F.lit("missing_columns").alias("check_name"), F.lit(len(lacking)).cast("long").alias("value"),
-                 F.lit(bool(lacking)).alias("warn")),
-        F.struct(F.lit("blank_text"), F.col("n_blank"), F.col("n_blank") > 0),
-        F.struct(F.lit("no_rows"), F.col("n"), F.col("n") == 0),
-        F.struct(F.lit("few_rows"), F.col("n"), (F.col("n") > 0) & (F.col("n") < min_rows)),
-    )
+    n, blank = F.col("n"), F.col("n_blank")
+    found = [
+        ("missing_columns", F.lit(len(lacking)).cast("long"), F.lit(bool(lacking))),
+        ("blank_text", blank, blank > 0),
+        ("no_rows", n, n == 0),
+        ("few_rows", n, (n > 0) & (n < min_rows)),
+    ]
+    checks = F.array(*[
+        F.struct(F.lit(name).alias("check_name"), value.alias("value"), warn.alias("warn"))
+        for name, value, warn in found
+    ])
     return one.select(F.inline(checks))
 
 
