@@ -183,6 +183,27 @@ def text_fallbacks(spark, sf):
     return extraction.text_fallback(both).select("page_id", F.md5("text").alias("text"))
 
 
+@query(
+    "feed_with_pages",
+    f"SELECT url, {TITLE_SQL} AS title, {POST_DAY} AS date, md5(CASE WHEN starts_with(url, 'https') THEN {text_sql(ARTICLE_SQL, '')} "
+    f"ELSE {text_sql('html')} END) AS text FROM pages",
+)
+def feed_with_pages(spark, sf):
+    """Posts of a source whose feed holds excerpts: the captured page's text comes first.
+
+    Secure pages were captured, with their article as main element.
+    """
+    h = F.col("html")
+    captured = (
+        table(spark, sf, "pages")
+        .filter(F.startswith("url", F.lit("https")))
+        .withColumn("html", F.replace(F.replace(h, F.lit("<article>"), F.lit("<main>")), F.lit("</article>"), F.lit("</main>")))
+    )
+    feed = posts(spark, sf).withColumn("source", F.lit("teaching_council"))
+    found = corpus.articles_from_posts(feed, captured)
+    return found.select("url", "title", F.col("date").cast("string").alias("date"), F.md5("text").alias("text"))
+
+
 # ---- all sources' rules in one job -----------------------------------------
 
 N = len(RANKED)

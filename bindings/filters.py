@@ -384,6 +384,13 @@ def cleaned_articles(spark, sf):
     return cleaned(spark, sf).select("url", "source", "language", F.md5("text").alias("text"))
 
 
+@query("cleaned_articles_wide", f"WITH {CLEAN_SQL} SELECT url, source, language, md5(text) AS text FROM cleaned")
+def cleaned_articles_wide(spark, sf):
+    """The same, moving keys rather than texts."""
+    out = C.clean(dirty(spark, sf), exclude=EXCLUDE, include=INCLUDE, lists=LANGUAGES, wide=True)
+    return out.select("url", "source", "language", F.md5("text").alias("text"))
+
+
 @query(
     "cleaning_steps",
     f"WITH {CLEAN_SQL}, n AS (SELECT (SELECT count(*) FROM dirty) AS a, (SELECT count(*) FROM nonblank) AS b, "

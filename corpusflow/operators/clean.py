@@ -4,23 +4,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
-from .dedup import dedup_first
+from .dedup import dedup_first, dedup_first_wide
 from .filters import drop_blank, flag_language, is_title_rejected, title_filter
 
 
 def clean(
-    df: DataFrame, order=("ordinal", "pos"), exclude=None, include=None, lists=None, key="url"
+    df: DataFrame, order=("ordinal", "pos"), exclude=None, include=None, lists=None, key="url", wide: bool = False
 ) -> DataFrame:
     """Blank text out, title filter, language flag, keep-first by key; in this order.
 
-    The first three are one narrow stage; the last is the only exchange.
+    The first three are one narrow stage; the last is the only exchange. With
+    ``wide`` that exchange carries keys instead of texts (see dedup_first_wide);
+    languages are then flagged after it, for the rows that stay.
     """
-    return (
-        df.transform(drop_blank)
-        .transform(title_filter, exclude, include)
-        .transform(flag_language, lists)
-        .transform(dedup_first, key, order)
-    )
+    kept = df.transform(drop_blank).transform(title_filter, exclude, include)
+    if wide:
+        return kept.transform(dedup_first_wide, key, order).transform(flag_language, lists)
+    return kept.transform(flag_language, lists).transform(dedup_first, key, order)
 
 
 def step_counts(df: DataFrame, exclude=None, include=None, key: str = "url") -> DataFrame:

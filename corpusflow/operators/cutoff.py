@@ -37,8 +37,8 @@ def _ord(df: DataFrame) -> DataFrame:
 
 
 def _with_stop(df: DataFrame, stops: DataFrame, group) -> DataFrame:
-    # one row per group on the right: adaptive execution broadcasts it where it
-    # is small and splits a hot group where it is not
+    # One row per group on the right, with a few numbers. Adaptive execution
+    # broadcasts it where it is small and splits a hot group where it is not.
     return df.join(stops, list(group), "left")
 
 

@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import sized
+
 
 def _keys(key):
     return [key] if isinstance(key, str) else list(key)
@@ -28,6 +30,36 @@ def dedup_first(df: DataFrame, key="url", order=("ordinal", "pos")) -> DataFrame
     return _rank_one(df, _keys(key), order)
 
 
+def dedup_first_wide(df: DataFrame, key="url", order=("ordinal", "pos")) -> DataFrame:
+    """dedup_first for wide rows of which few are duplicates.
+
+    Only keys and order columns are shuffled, counted on the map side first. The
+    keys that occur more than once are written out, so that their real size is
+    known; where it is small they are broadcast and no text moves at all. Only
+    rows that tie for first place, if there are any, go through a window. Runs
+    a job.
+    """
+    keys, order = _keys(key), list(order)
+    repeated = (
+        df.groupBy(*keys, *order).agg(F.count("*").alias("_c"))
+        .groupBy(*keys).agg(F.min(F.struct(*order, "_c")).alias("_m"), F.sum("_c").alias("_n"))
+        .filter("_n > 1")
+        .select(
+            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+            F.struct(*[f"_m.{c}" for c in order]).alias("_first"), F.col("_m._c").alias("_ties"),
+        )
+    )
+    side = sized(repeated, "repeated-keys")
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    first = df.join(side, same, "left").filter(
+        F.col("_first").isNull() | (F.struct(*order) == F.col("_first"))
+    )
+    single = first.filter(F.coalesce(F.col("_ties") == 1, F.lit(True))).select(*df.columns)
+    if side.filter("_ties > 1").limit(1).count() == 0:
+        return single
+    return single.unionByName(_rank_one(first.filter("_ties > 1").select(*df.columns), keys, order))
+
+
 def dedup_last(df: DataFrame, key="url", precedence=("precedence",)) -> DataFrame:
     """One row per key: the last write wins, its NULLs included."""
     return _rank_one(df, _keys(key), [F.col(c).desc() for c in precedence])
@@ -53,13 +85,17 @@ def union_sources(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def upsert(target: DataFrame, updates: DataFrame, key="url", precedence=("precedence",)) -> DataFrame:
+def upsert(
+    target: DataFrame, updates: DataFrame, key="url", precedence=("precedence",), write_keys: bool = False
+) -> DataFrame:
     """Target with updates applied: insert new keys, replace known ones.
 
     Updates are reduced to one row per key first. The target is only filtered
     against their keys, so its wide rows are not sorted, and not moved either
-    where the updates are small enough to broadcast.
+    where those keys are small enough to broadcast. ``write_keys`` writes the
+    keys out first, so that Catalyst knows their size (runs a job).
     """
     latest = dedup_last(updates, key, precedence)
-    kept = target.join(latest.select(*_keys(key)), _keys(key), "left_anti")
+    keys = updates.select(*_keys(key)).distinct()
+    kept = target.join(sized(keys, "keys") if write_keys else keys, _keys(key), "left_anti")
     return kept.unionByName(latest.select(*target.columns))

@@ -48,10 +48,13 @@ def build(
 
 
 def split(routed: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Training rows as they are, inference rows cleaned per batch."""
+    """Training rows as they are, inference rows cleaned per batch.
+
+    Runs a job: the keys that repeat are found before any text is moved.
+    """
     training = routed.filter(F.col("dataset_type") == "training")
     ranked = routed.filter(F.col("dataset_type") == "inference").join(
         dim.select("source", "ordinal"), "source", "left"
     )
-    cleaned = clean(ranked, order=("ordinal", "date", "title"), key=("batch", "country", "url"))
+    cleaned = clean(ranked, order=("ordinal", "date", "title"), key=("batch", "country", "url"), wide=True)
     return conform(training), cleaned.select(*ARTICLE_COLS, "batch")

@@ -28,8 +28,8 @@ def inference_records(df: DataFrame, country, week: int | None = None) -> DataFr
 
 
 def load(target: DataFrame, records: DataFrame) -> DataFrame:
-    """Store after a load: the last write per url wins."""
-    return upsert(target, records, "url", PRECEDENCE)
+    """Store after a load: the last write per url wins. Runs a job for the updates' keys."""
+    return upsert(target, records, "url", PRECEDENCE, write_keys=True)
 
 
 def initial(records: DataFrame) -> DataFrame:

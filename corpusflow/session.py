@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are written for. All are ordinary Spark SQL settings;
 # partition counts and sizes are left to the cluster and to adaptive execution.
@@ -44,3 +44,16 @@ def work_folder(spark, name):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="corpusflow-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def sized(df: DataFrame, name: str = "side") -> DataFrame:
+    """Write an aggregated join side to the shared folder and read it back.
+
+    Catalyst then knows its size and decides itself between a broadcast, which
+    leaves the other side's wide rows where they are, and a shuffled join. The
+    written table also ends the lineage, so losing an executor later does not
+    repeat the work. Runs a job.
+    """
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
