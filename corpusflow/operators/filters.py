@@ -73,6 +73,27 @@ def url_filter(df: DataFrame, pattern: str, col: str = "url") -> DataFrame:
     return df.filter(F.rlike(F.col(col), F.lit(pattern)))
 
 
+def _words(terms) -> list:
+    """Terms of the form " word ", which can be looked up among a text's pieces."""
+    return [t for t in terms if t.startswith(" ") and t.endswith(" ") and len(t) > 2 and " " not in t[1:-1]]
+
+
+def _array_sql(items) -> str:
+    return "array(" + ", ".join(lit(x) for x in items) + ")"
+
+
+def _present_sql(text: str, found: str, terms) -> str:
+    """How many terms occur, given the words found in the text; other terms are searched for."""
+    words = _words(terms)
+    rest = [t for t in terms if t not in words]
+    parts = []
+    if words:
+        parts.append(f"size(array_intersect({found}, {_array_sql(w[1:-1] for w in words)}))")
+    if rest:
+        parts.append(count_present_sql(text, rest))
+    return " + ".join(parts)
+
+
 def language(
     text: Column, lists=None, min_chars: int = rules.LANGUAGE_MIN_CHARS, default: str = "en"
 ) -> Column:
@@ -84,20 +105,24 @@ def language(
     the first named on a tie.
     """
     lists = {"ga": (rules.IRISH_TERMS, rules.IRISH_THRESHOLD)} if lists is None else lists
-    names = "array(" + ", ".join(lit(lang) for lang in lists) + ")"
+    names = _array_sql(lists)
+    wanted = _array_sql(dict.fromkeys(w[1:-1] for terms, _ in lists.values() for w in _words(terms)))
 
-    def reached(t):
+    def reached(t, found):
         return ", ".join(
-            bind(count_present_sql(t, terms), lambda v, n=need: f"CASE WHEN {v} >= {n} THEN {v} ELSE 0 END")
+            bind(_present_sql(t, found, terms), lambda v, n=need: f"CASE WHEN {v} >= {n} THEN {v} ELSE 0 END")
             for terms, need in lists.values()
         )
 
+    def best(scores):
+        top = f"array_max({scores})"
+        return f"CASE WHEN {top} > 0 THEN element_at({names}, CAST(array_position({scores}, {top}) AS INT)) ELSE {lit(default)} END"
+
     def pick(t):
-        return bind(
-            f"array({reached(t)})",
-            lambda s: f"CASE WHEN array_max({s}) > 0 THEN element_at({names}, "
-            f"CAST(array_position({s}, array_max({s})) AS INT)) ELSE {lit(default)} END",
-        )
+        # the words between two spaces that any list asks for, in one pass; the
+        # first and last piece of the text lack one of the spaces
+        inner = bind(f"split({t}, ' ')", lambda w: f"slice({w}, 2, greatest(size({w}) - 2, 0))")
+        return bind(f"array_intersect({inner}, {wanted})", lambda w: bind(f"array({reached(t, w)})", best))
 
     # a NULL text has no length; it gets the default as well
     short = F.coalesce(F.length(text), F.lit(0)) < min_chars

@@ -38,3 +38,16 @@ def test_entry(spark):
 
 def test_sql_only_for_known_queries():
     assert set(ORACLE) <= set(QUERIES)
+
+
+@pytest.mark.parametrize(
+    "name", ["run_windows", "cut_streak_listing", "cleaned_articles_wide", "upserted_store", "weekly_summary", "share_table"]
+)
+def test_same_rows_without_broadcasts(spark, con, name):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        assert compare.differences(QUERIES[name](spark, SF), con, ORACLE[name]) == []
+    finally:
+        spark.conf.set(key, before)
