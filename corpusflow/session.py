@@ -1,7 +1,11 @@
 """Session settings and the shared working folder."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,17 +38,38 @@ def _setting(spark, key):
     return value or spark.sparkContext.getConf().get(key, None)
 
 
+_LOCAL: dict[str, str] = {}  # working folder of a single-machine session, by application
+
+
+def prepare(spark):
+    """What an application does once: send the package to the workers, name a folder.
+
+    Executors get the package as a zip file through Spark. Only a session on one
+    machine without ``spark.checkpoint.dir`` gets a folder of its own, removed at exit.
+    """
+    context = spark.sparkContext
+    app = context.applicationId
+    if app in _LOCAL:
+        return
+    scratch = tempfile.mkdtemp(prefix="corpusflow-")
+    atexit.register(shutil.rmtree, scratch, ignore_errors=True)
+    _LOCAL[app] = scratch if context.master.startswith("local") and "-cluster" not in context.master else ""
+    package = Path(__file__).resolve().parent
+    archive = Path(scratch) / "corpusflow.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
 def work_folder(spark, name):
     """A fresh folder for one job's files, below the folder all executors share.
 
-    The shared folder is the one named by ``spark.checkpoint.dir``. Only a
-    single-machine session without that setting falls back to a local folder.
+    The shared folder is the one named by ``spark.checkpoint.dir``.
     """
-    root = _setting(spark, "spark.checkpoint.dir")
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="corpusflow-")
+    root = _setting(spark, "spark.checkpoint.dir") or _LOCAL.get(spark.sparkContext.applicationId)
+    if not root:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
