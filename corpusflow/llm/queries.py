@@ -1,8 +1,11 @@
 """The operators on the given tables: query name to function, and SQL where it can say the same."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
+from .byte_bpe import round_trip
 from .suffix_dedup import remove_repeats
+from .token_files import read_token_files, write_token_files
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -18,3 +21,21 @@ def op1_suffix_dedup(spark, sf):
 
 
 QUERIES["op1_suffix_dedup"] = op1_suffix_dedup
+
+
+def op7_byte_bpe(spark, sf):
+    out = round_trip(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op8_token_files(spark, sf):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    folder, manifest = write_token_files(_table(spark, sf, "documents"), path, end_id=1, vocab_size=49_408)
+    out = read_token_files(spark, folder, manifest)
+    return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+QUERIES["op7_byte_bpe"] = op7_byte_bpe
+QUERIES["op8_token_files"] = op8_token_files

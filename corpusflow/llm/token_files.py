@@ -44,19 +44,20 @@ class WordCoder:
         self.tool = Tokenizer.from_file(path)
         self.tool.no_truncation()
         self.tool.no_padding()
-        self.mark, self.mark_id = next((t.content, i) for i, t in self.tool.get_added_tokens_decoder().items())
+        self.mark = "\x01"
+        (self.mark_id,) = self.tool.encode(self.mark, add_special_tokens=False).ids
         self.kind = np.dtype(f"<u{width}")
         self.known: dict[str, bytes] = {}
 
     def _learn(self, words) -> dict[str, bytes]:
-        """Many words in one call, kept apart by a special token; words that hold one go by themselves."""
+        """Many words in one call, kept apart by a control character with one id; words that hold it go by themselves."""
         words = list(words)
         alone = [w for w in words if self.mark in w]
         rest = [w for w in words if self.mark not in w] if alone else words
         found = {w: np.array(self.tool.encode(w, add_special_tokens=False).ids, self.kind).tobytes() for w in alone}
         for lo in range(0, len(rest), 2000):
             part = rest[lo : lo + 2000]
-            ids = np.array(self.tool.encode_batch_fast([self.mark.join(part)], add_special_tokens=False)[0].ids, self.kind)
+            ids = np.array(self.tool.encode_batch_fast([f" {self.mark} ".join(part)], add_special_tokens=False)[0].ids, self.kind)
             cuts = np.concatenate([[-1], np.flatnonzero(ids == self.mark_id), [len(ids)]]).tolist()
             raw, w = ids.tobytes(), self.kind.itemsize
             found |= {x: raw[(a + 1) * w : b * w] for x, a, b in zip(part, cuts, cuts[1:], strict=False)}
