@@ -4,6 +4,9 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from .byte_bpe import round_trip
+from .decontaminate import contamination
+from .embedding_dedup import near_vectors
+from .simhash_dedup import hex_digits, near_duplicates
 from .suffix_dedup import remove_repeats
 from .token_files import read_token_files, write_token_files
 
@@ -39,3 +42,26 @@ def op8_token_files(spark, sf):
 
 QUERIES["op7_byte_bpe"] = op7_byte_bpe
 QUERIES["op8_token_files"] = op8_token_files
+
+
+def op4_simhash(spark, sf):
+    out = near_duplicates(_table(spark, sf, "documents"))
+    return out.select("doc_id", hex_digits("fp").alias("fingerprint"), "component_id")
+
+
+def op5_embedding_dedup(spark, sf):
+    return near_vectors(_table(spark, sf, "embeddings"))
+
+
+def op9_decontamination(spark, sf):
+    out = contamination(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+    names = F.array_sort(F.transform("item_ids", lambda x: x.cast("string")))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+QUERIES["op4_simhash"] = op4_simhash
+QUERIES["op5_embedding_dedup"] = op5_embedding_dedup
+QUERIES["op9_decontamination"] = op9_decontamination
