@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusflow.session import sized
 
@@ -13,13 +14,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return sized(df, name)
 
 
-def documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The two columns an operator needs, named doc_id and text; a null text is empty."""
+def documents(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
+    """The two columns an operator needs, named doc_id and text; a null text is empty.
+
+    With carry, all columns but the text go along in a struct named rest.
+    """
+    rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("rest")] if carry else []
     return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *rest
     )
 
 
+def with_rest(schema: str, texts: DataFrame) -> T.StructType:
+    """An output schema, with the carried columns at its end if there are any."""
+    out = T.StructType.fromDDL(schema)
+    return out.add(texts.schema["rest"]) if "rest" in texts.columns else out
+
+
+def carried(out: DataFrame, docs: DataFrame, text_col: str, text) -> DataFrame:
+    """The columns of docs again, with another text and the n_chars that belong to it."""
+    new = {text_col: text, "n_chars": F.length(text).cast("long")}
+    return out.select(*[(new[c] if c in new else F.col("rest")[c]).alias(c) for c in docs.columns])
+
+
 def longs(column) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
 

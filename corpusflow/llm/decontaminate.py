@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, utf8
+from .common import documents, utf8, with_rest
 
 WINDOW = 10
 RATE = 8
@@ -186,7 +186,10 @@ def _mark(blocks):
             while lo < len(ids):
                 hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SHARD_BYTES, side="right")) - 1)
                 texts = [data[a:b].tobytes() for a, b in zip(offsets[lo:hi], offsets[lo + 1 : hi + 1])]
-                yield _shard(ids.slice(lo, hi - lo), texts, [b.value for b in blocks])
+                out = _shard(ids.slice(lo, hi - lo), texts, [b.value for b in blocks])
+                if "rest" in batch.schema.names:
+                    out = out.append_column("rest", batch.column("rest").slice(lo, hi - lo))
+                yield out
                 lo = hi
 
     return run
@@ -265,6 +268,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int):
 def contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
+    carry: bool = False,
 ) -> DataFrame:
     """Words of each text that lie in an occurrence of ``window`` successive benchmark words.
 
@@ -274,11 +278,12 @@ def contamination(
 
     Null text: no words. Null item_id or item text: no windows. Empty benchmark: no
     hits. Rows are kept one for one, repeated or with a null doc_id too. No rows: no
-    rows. Other columns are ignored. One pass over the texts, no shuffle; the
-    benchmark passes the driver in blocks of BLOCK_BYTES of text.
+    rows. Other columns are ignored, or with carry returned in a struct named rest.
+    One pass over the texts, no shuffle; the benchmark passes the driver in blocks of BLOCK_BYTES of text.
     """
     blocks = _blocks(benchmark, item_col, item_text_col, window)
-    return documents(docs, id_col, text_col).mapInArrow(
-        _mark(blocks),
-        "doc_id long, n_words long, n_hit long, item_ids array<long>, spans array<struct<start:long,end:long>>, clean_text string",
+    texts = documents(docs, id_col, text_col, carry)
+    schema = (
+        "doc_id long, n_words long, n_hit long, item_ids array<long>, spans array<struct<start:long,end:long>>, clean_text string"
     )
+    return texts.mapInArrow(_mark(blocks), with_rest(schema, texts))

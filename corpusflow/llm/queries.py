@@ -3,12 +3,16 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from . import lattice_lm
 from .byte_bpe import round_trip
+from .chat_format import digests, format_records, records_of
 from .decontaminate import contamination
 from .embedding_dedup import near_vectors
+from .license_scan import find_licenses
 from .simhash_dedup import hex_digits, near_duplicates
 from .suffix_dedup import remove_repeats
 from .token_files import read_token_files, write_token_files
+from .toxicity import score_with_labels
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -65,3 +69,36 @@ def op9_decontamination(spark, sf):
 QUERIES["op4_simhash"] = op4_simhash
 QUERIES["op5_embedding_dedup"] = op5_embedding_dedup
 QUERIES["op9_decontamination"] = op9_decontamination
+
+
+def op2_chat_format(spark, sf):
+    turns = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
+    )
+    return digests(format_records(records_of(turns.unionAll(probe)), "conv_id", "record"), "conv_id")
+
+
+def op3_license_scan(spark, sf):
+    return find_licenses(_table(spark, sf, "documents"))
+
+
+def op6_lattice_lm(spark, sf):
+    docs = _table(spark, sf, "documents")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    out = lattice_lm.score_texts(docs, docs.filter(~held), public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op10_toxicity(spark, sf):
+    return score_with_labels(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+QUERIES |= {
+    "op2_chat_format": op2_chat_format,
+    "op3_license_scan": op3_license_scan,
+    "op6_lattice_lm": op6_lattice_lm,
+    "op10_toxicity": op10_toxicity,
+}

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, longs, stored, utf8
+from .common import documents, longs, stored, utf8, with_rest
 
 THRESHOLD = 100
 SEGMENT = 1 << 20  # bytes hashed at once; longer texts are cut into overlapping segments
@@ -214,13 +214,16 @@ def _remove(threshold: int, keep_text: bool):
                 kept = rest.decode("utf-8", "ignore") if keep_text else None
                 rows.append((len(text), len(text) - len(rest), len(runs), digest, kept))
             n_bytes, n_removed, n_spans, digests, kept = zip(*rows, strict=True) if rows else [()] * 5
-            yield pa.record_batch(
+            out = pa.record_batch(
                 [
                     batch.column("doc_id"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()),
                     pa.array(n_spans, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.string()),
                 ],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"],
             )
+            if "rest" in batch.schema.names:
+                out = out.append_column("rest", batch.column("rest"))
+            yield out
 
     return run
 
@@ -242,7 +245,8 @@ def _merged(values: np.ndarray, size: int, threshold: int) -> list[tuple[int, in
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, keep_text: bool = True
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,
+    keep_text: bool = True, carry: bool = False,
 ) -> DataFrame:
     """Remove each byte covered by a ``threshold``-byte string that also starts earlier.
 
@@ -253,17 +257,18 @@ def remove_repeats(
 
     Null text: empty. Empty or short text: kept whole. Null doc_id: kept whole, and
     the source of nothing. Rows repeated with the same doc_id and text are one text,
-    each returned. No rows: no rows. Other columns are ignored. Runs a job.
+    each returned. No rows: no rows. Other columns are ignored, or with carry returned
+    in a struct named rest. Runs a job.
     """
     if threshold % 4 or threshold > 255:
         raise ValueError("threshold must be a multiple of 4 below 256")
-    texts = documents(docs, id_col, text_col)
-    first = stored(_rank(texts.mapInArrow(_cut(threshold // 4, threshold), ITEMS)), "repeats")
+    texts = documents(docs, id_col, text_col, carry)
+    first = stored(_rank(texts.select("doc_id", "text").mapInArrow(_cut(threshold // 4, threshold), ITEMS)), "repeats")
     marks = first.filter("span % 2 = 0")
     for length in (threshold // 2, threshold):
         marks = _rank(_with_spans(texts, marks).mapInArrow(_cut(length, threshold), ITEMS))
     removed = first.unionAll(marks).filter("span % 2 = 1")
     return _with_spans(texts, removed).mapInArrow(
         _remove(threshold, keep_text),
-        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string",
+        with_rest("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string", texts),
     )

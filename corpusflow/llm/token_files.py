@@ -24,7 +24,7 @@ from corpusflow.session import work_folder
 
 from .common import documents, stored
 
-KEPT = 600_000  # remembered words for each worker
+KEPT = 450_000  # remembered words for each worker
 LONGEST = 64  # characters of a remembered word
 OUTPUT_BYTES = 8 << 20
 MANIFEST = "first long, part string, n_docs long, n_tokens long, width int"
