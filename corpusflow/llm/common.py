@@ -82,14 +82,16 @@ def cells(members: DataFrame, keys: list[str], node: str, size: int) -> DataFram
 
     Adds cell_i <= cell_j and chunk. A bucket of one chunk is the cell (0, 0);
     others send each member to every cell of its chunk, so that all pairs of a
-    bucket meet in exactly one cell and no task holds more than two chunks.
-    Buckets of a single member are left out.
+    bucket meet in exactly one cell and no task holds more than two chunks. Only
+    the list of large buckets is joined, so that members are not shuffled twice
+    where it is small enough for Spark to broadcast.
     """
-    counted = stored(members.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1"), "buckets")
-    many = F.ceil(F.col("_n") / F.lit(size)).cast("int")
+    counted = members.groupBy(*keys).agg(F.count("*").alias("_n"))
+    large = stored(counted.filter(F.col("_n") > size), "buckets")
+    many = F.ceil(F.coalesce(F.col("_n"), F.lit(1)) / F.lit(size)).cast("int")
     chunk = F.when(many > 1, F.pmod(F.xxhash64(F.col(node)), many)).otherwise(0).cast("int")
     return (
-        members.join(counted, keys)
+        members.join(large, keys, "left")
         .withColumn("_many", many)
         .withColumn("chunk", chunk)
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_many") - 1)))

@@ -24,7 +24,7 @@ CHUNK = 1024  # vectors of one side of a cell
 _KEYS = ["table", "label", "size", "pattern", "cell_i", "cell_j"]
 
 
-def _signs(tables: int, bits: int, seed: int):
+def _signs(tables: int, bits: int, seed: int, real):
     def run(batches):
         planes = {}
         for batch in batches:
@@ -41,7 +41,7 @@ def _signs(tables: int, bits: int, seed: int):
                 side = (x @ planes[size] > 0).reshape(len(rows), tables, bits)
                 patterns = (side * (1 << np.arange(bits))).sum(2).astype(np.int32)
                 part = batch.take(pa.array(rows))
-                raw = pa.array([v.tobytes() for v in x], pa.binary())
+                raw = pa.array([v.tobytes() for v in x.astype(real)], pa.binary())
                 all_keys = pa.array([k.tobytes() for k in patterns], pa.binary())
                 for t in range(tables):
                     yield pa.record_batch(
@@ -55,7 +55,7 @@ def _signs(tables: int, bits: int, seed: int):
     return run
 
 
-def _compare(tables: int, threshold: float):
+def _compare(tables: int, threshold: float, real):
     """Rows (node, other, links): a link count without other, or an edge of the cell's forest."""
 
     def run(batches):
@@ -65,11 +65,13 @@ def _compare(tables: int, threshold: float):
             )
             raw, patterns = table.column("raw").combine_chunks(), table.column("patterns").combine_chunks()
             nodes, others, links = [], [], []
-            for lo, hi in zip(starts, [*starts[1:], table.num_rows], strict=True):
+            ends = np.append(starts[1:], table.num_rows)
+            several = ends - starts > 1
+            for lo, hi in zip(starts[several], ends[several], strict=True):
                 left, right = (lo + np.flatnonzero(chunk[lo:hi] == side[lo]) for side in (i, j))
                 if not len(left) or not len(right):
                     continue
-                x = np.frombuffer(b"".join(raw[lo : hi].to_pylist()), np.float64).reshape(hi - lo, -1)
+                x = np.frombuffer(b"".join(raw[lo:hi].to_pylist()), real).reshape(hi - lo, -1).astype(np.float64)
                 x = x / np.sqrt((x * x).sum(1))[:, None]
                 near = x[left - lo] @ x[right - lo].T >= threshold
                 if i[lo] == j[lo]:
@@ -79,7 +81,7 @@ def _compare(tables: int, threshold: float):
                     continue
                 a, b = left[a], right[b]
                 if t[lo]:
-                    keys = np.frombuffer(b"".join(patterns[lo : hi].to_pylist()), np.int32).reshape(hi - lo, tables)
+                    keys = np.frombuffer(b"".join(patterns[lo:hi].to_pylist()), np.int32).reshape(hi - lo, tables)
                     met = np.zeros(len(a), bool)
                     for k in range(int(t[lo])):
                         met |= keys[a - lo, k] == keys[b - lo, k]
@@ -120,6 +122,8 @@ def near_vectors(
     label = F.col(label_col).cast("long") if kind in ("byte", "short", "integer", "long") else F.when(
         F.col(label_col).isNotNull(), F.xxhash64(F.col(label_col))
     )
+    # components travel as they are stored, and are compared in double precision
+    real = np.float32 if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else np.float64
     rows = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"), label.alias("label"),
         F.col(vector_col).cast("array<double>").alias("vector"),
@@ -131,12 +135,12 @@ def near_vectors(
     valid = rows.filter(usable)
     classes = valid.groupBy("label", "vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
     signed = classes.withColumn("size", F.size("vector")).mapInArrow(
-        _signs(tables, bits, seed),
+        _signs(tables, bits, seed, real),
         "table int, label long, size int, pattern int, node long, copies long, patterns binary, raw binary",
     )
     met = cells(signed, ["table", "label", "size", "pattern"], "node", chunk)
     met = met.repartition(*_KEYS).sortWithinPartitions(*_KEYS)
-    found = stored(met.mapInArrow(_compare(tables, threshold), "node long, other long, links long"), "links")
+    found = stored(met.mapInArrow(_compare(tables, threshold, real), "node long, other long, links long"), "links")
     linked = components(found.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     counted = found.groupBy("node").agg(F.sum("links").alias("links"))
     named = (
