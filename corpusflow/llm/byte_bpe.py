@@ -18,7 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import documents
+from .common import Memory, documents
 
 # The pattern that splits text in front of the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -28,7 +28,7 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 SHORT = 64  # parts; longer pieces go to the heap
 ROWS = 1 << 14  # pieces merged side by side
 NONE = np.int32(1 << 30)
-KEPT = 350_000  # remembered chunks for each worker
+KEPT = 250_000  # remembered chunks for each worker
 OUTPUT_BYTES = 8 << 20  # of texts in one output batch
 
 
@@ -62,7 +62,7 @@ class Codec:
         self.pieces = regex.compile(PATTERN.replace(r"\s", f"[{SPACE}]").replace(f"[^[{SPACE}]", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]")).findall
         self.chunks = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+").findall
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
-        self.known: dict[str, bytes] = {}
+        self.known = Memory(KEPT)
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """Codes of pieces. Short ones of like length are merged side by side, a row each."""
@@ -154,13 +154,10 @@ class Codec:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self.cut(t) if self.cut else [t] for t in texts]
         chunks = [[self.chunks(p) if k % 2 == 0 else [p] for k, p in enumerate(ps)] for ps in cut]
-        new = set().union(*(c for ps in chunks for c in ps[::2])).difference(self.known)
-        if len(self.known) + len(new) > KEPT:
-            self.known = {}
-            new = set().union(*(c for ps in chunks for c in ps[::2]))
-        learnt = self._learn(list(new))
-        self.known |= {c: code for c, code in learnt.items() if len(c) <= SHORT}
-        get = collections.ChainMap(self.known, learnt).__getitem__ if any(len(c) > SHORT for c in new) else self.known.__getitem__
+        learnt = self._learn(self.known.missing(set().union(*(c for ps in chunks for c in ps[::2]))))
+        long = {c: code for c, code in learnt.items() if len(c) > SHORT}
+        self.known.now |= {c: code for c, code in learnt.items() if len(c) <= SHORT} if long else learnt
+        get = collections.ChainMap(self.known.now, long).__getitem__ if long else self.known.now.__getitem__
         special = {s: i.to_bytes(4, "little") for s, i in self.special.items()}
         return [
             b"".join([b"".join(map(get, c)) if k % 2 == 0 else special[c[0]] for k, c in enumerate(ps)]) for ps in chunks

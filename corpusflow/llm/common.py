@@ -51,6 +51,22 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), offsets
 
 
+class Memory:
+    """Bounded memory of results by key, in two generations: what is still in use moves on."""
+
+    def __init__(self, kept: int):
+        self.kept, self.now, self.before = kept, {}, {}
+
+    def missing(self, wanted: set) -> list:
+        """Those keys that have to be computed; the others are in ``now`` afterwards."""
+        new = wanted.difference(self.now)
+        if self.now and len(self.now) + len(new) > self.kept:
+            self.before, self.now = self.now, {}
+            new = wanted
+        self.now.update({k: v for k in new if (v := self.before.get(k)) is not None})
+        return [k for k in new if k not in self.now]
+
+
 def whole_groups(batches, keys):
     """Regroup sorted batches into tables of whole groups; yields (table, start of each group)."""
 

@@ -20,13 +20,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, stored, utf8
+from .common import Memory, documents, stored, utf8
 
 FREQUENT = 200_000  # words whose counts are sent to the workers
 WORD_UNITS = 100_000  # of them, units of the lattice
 ROUNDS = 2
 MARK = "▁"
-KEPT = 300_000  # remembered words for each worker
+KEPT = 250_000  # remembered words for each worker
 BATCH_BYTES = 8 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -227,17 +227,15 @@ def score_texts(
     below = math.log10(n + v + 1)
     shared = spark.sparkContext.broadcast((units, {w: (c, math.log10(c + 1) - below) for w, c in frequent.items()}))
     end_base, end_known = math.log10(ends + 1) - below, int(ends > 0)
-    known: dict[bytes, float] = {}
+    memory = Memory(KEPT)
 
     def run(batches):
         model, table = shared.value
         row = TaskContext.get().partitionId() << 33
         for batch, lo, texts in _batches_of_words(batches):
             ids = batch.column("doc_id").slice(lo, len(texts)).to_pylist()
-            new = list(set().union(*texts).difference(known))
-            if len(known) + len(new) > KEPT:
-                known.clear()
-                new = list(set().union(*texts))
+            new = memory.missing(set().union(*texts))
+            known = memory.now
             known.update(zip(new, (model.log_words([w.decode() for w in new]) / math.log(10)).tolist(), strict=True))
             out, rare = [], []
             for doc, ws in zip(ids, texts, strict=True):

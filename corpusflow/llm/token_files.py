@@ -9,6 +9,7 @@ file in the whole sequence is a prefix sum over the manifest (a row per file).
 * ``.idx``: n + 1 unsigned 64-bit offsets into the ids, then n signed 64-bit document ids
 """
 
+import collections
 import functools
 import os
 import re
@@ -22,9 +23,9 @@ from pyspark.sql import functions as F
 
 from corpusflow.session import work_folder
 
-from .common import documents, stored
+from .common import Memory, documents, stored
 
-KEPT = 450_000  # remembered words for each worker
+KEPT = 300_000  # remembered words for each worker
 LONGEST = 64  # characters of a remembered word
 OUTPUT_BYTES = 8 << 20
 MANIFEST = "first long, part string, n_docs long, n_tokens long, width int"
@@ -47,7 +48,7 @@ class WordCoder:
         self.mark = "\x01"
         (self.mark_id,) = self.tool.encode(self.mark, add_special_tokens=False).ids
         self.kind = np.dtype(f"<u{width}")
-        self.known: dict[str, bytes] = {}
+        self.known = Memory(KEPT)
 
     def _learn(self, words) -> dict[str, bytes]:
         """Many words in one call, kept apart by a control character with one id; words that hold it go by themselves."""
@@ -66,13 +67,10 @@ class WordCoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         split = re.compile(r"[^ \t\n\r\x0b\x0c]+").findall
         words = [split(t) for t in texts]
-        new = set().union(*words).difference(self.known)
-        extra = self._learn(w for w in new if len(w) > LONGEST)
-        if len(self.known) + len(new) > KEPT:
-            self.known = {}
-            new = set().union(*words)
-        self.known |= self._learn(w for w in new if len(w) <= LONGEST)
-        get = self.known.__getitem__ if not extra else lambda w: self.known.get(w) or extra.get(w, b"")
+        learnt = self._learn(self.known.missing(set().union(*words)))
+        long = {w: code for w, code in learnt.items() if len(w) > LONGEST}
+        self.known.now |= {w: code for w, code in learnt.items() if len(w) <= LONGEST} if long else learnt
+        get = collections.ChainMap(self.known.now, long).__getitem__ if long else self.known.now.__getitem__
         return [b"".join(map(get, ws)) for ws in words]
 
 

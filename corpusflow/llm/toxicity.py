@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import Memory, documents
 
 DECAY = 0.5
 REACH = 3
@@ -37,7 +37,7 @@ STEM, SUPPORT = 4, 4  # letters of a stem, toxic texts that must share it
 SLOPE = 12.0
 LEAST = 3  # letters of a scored word
 FLOOR = 0.25  # similarities below count as none
-KEPT = 350_000  # remembered words for each worker
+KEPT = 250_000  # remembered words for each worker
 BATCH_BYTES = 8 << 20
 
 _OTHER = re.compile(r"[\W\d_]+")
@@ -255,7 +255,7 @@ def train(
 
 def _scored(shared):
     """Each batch in pieces of bounded text, with the scores and worst words of its texts."""
-    known: dict[str, float] = {}
+    memory = Memory(KEPT)
 
     def run(batches):
         tool = shared.value
@@ -267,10 +267,8 @@ def _scored(shared):
                     size += len(texts[hi].as_buffer() or b"")
                     hi += 1
                 words = [words_of(t or "") for t in texts.slice(lo, hi - lo).to_pylist()]
-                new = list({w for ws in words for w in ws}.difference(known))
-                if len(known) + len(new) > KEPT:
-                    known.clear()
-                    new = list({w for ws in words for w in ws})
+                new = memory.missing({w for ws in words for w in ws})
+                known = memory.now
                 known.update(zip(new, tool.similarities(new).tolist(), strict=True))
                 worst = [max(ws, key=known.__getitem__, default=None) for ws in words]
                 best = [known[w] if w is not None else 0.0 for w in worst]
