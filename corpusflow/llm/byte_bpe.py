@@ -28,8 +28,8 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 SHORT = 64  # parts; longer pieces go to the heap
 ROWS = 1 << 14  # pieces merged side by side
 NONE = np.int32(1 << 30)
-KEPT = 250_000  # remembered chunks for each worker
-OUTPUT_BYTES = 8 << 20  # of texts in one output batch
+KEPT = 150_000  # remembered chunks for each worker
+OUTPUT_BYTES = 2 << 20  # of texts in one output batch
 
 
 def byte_letters() -> dict[str, int]:

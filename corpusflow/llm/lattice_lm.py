@@ -26,8 +26,8 @@ FREQUENT = 200_000  # words whose counts are sent to the workers
 WORD_UNITS = 100_000  # of them, units of the lattice
 ROUNDS = 2
 MARK = "▁"
-KEPT = 250_000  # remembered words for each worker
-BATCH_BYTES = 8 << 20
+KEPT = 150_000  # remembered words for each worker
+BATCH_BYTES = 2 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -21,8 +21,8 @@ from .decontaminate import words_of
 SHINGLE = 5
 CONTAINMENT = 0.8
 BANDS, ROWS = 16, 2
-BATCH_BYTES = 4 << 20
-KEPT = 400_000  # remembered words for each worker
+BATCH_BYTES = 2 << 20
+KEPT = 200_000  # remembered words for each worker
 
 # Notices and openings of public licences.
 TEMPLATES = {

@@ -27,7 +27,7 @@ from .common import Memory, documents, stored
 
 KEPT = 300_000  # remembered words for each worker
 LONGEST = 64  # characters of a remembered word
-OUTPUT_BYTES = 8 << 20
+OUTPUT_BYTES = 4 << 20
 MANIFEST = "first long, part string, n_docs long, n_tokens long, width int"
 
 

@@ -37,8 +37,9 @@ STEM, SUPPORT = 4, 4  # letters of a stem, toxic texts that must share it
 SLOPE = 12.0
 LEAST = 3  # letters of a scored word
 FLOOR = 0.25  # similarities below count as none
-KEPT = 250_000  # remembered words for each worker
-BATCH_BYTES = 8 << 20
+KEPT = 120_000  # remembered words for each worker
+BATCH_BYTES = 1 << 20
+WORDS = 8192  # compared at once
 
 _OTHER = re.compile(r"[\W\d_]+")
 _SPELLED = re.compile(r"(?<!\S)[^\W\d_](?:\s[^\W\d_]){2,}(?!\S)")
@@ -97,6 +98,10 @@ class Model:
     cut: float
 
     def similarities(self, words: list[str]) -> np.ndarray:
+        parts = [self._similarities(words[at : at + WORDS]) for at in range(0, len(words), WORDS)]
+        return np.concatenate([np.zeros(0), *parts])
+
+    def _similarities(self, words: list[str]) -> np.ndarray:
         raw, least = np.zeros(len(words)), np.zeros(len(words))
         for word, feature, x in _features(words):
             raw += np.bincount(word, self.weights[feature] * x, len(words))
