@@ -14,7 +14,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from bindings import QUERIES  # noqa: E402
-from corpusflow.session import build_session  # noqa: E402
+from corpusflow.session import build_session, prepare  # noqa: E402
 
 HEADLINE = [
     "language_share_by_host", "rule_extraction", "page_blocks", "feed_posts", "articles_from_listing",
@@ -47,6 +47,7 @@ def main():
             "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
     )
+    prepare(spark)
     spark.range(10).selectExpr("sum(id)").collect()  # start the executor threads
     seconds = {}
     for name in names:

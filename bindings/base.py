@@ -1,10 +1,18 @@
 """Registry, shared stand-ins for corpus tables, and their SQL twins."""
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow import rules
-from corpusflow.functions.text import ENTITIES, WHITESPACE
+from corpusflow.functions.text import WHITESPACE
+
+# Entities of the given pages, for SQL that replaces one after the other.
+ENTITIES = [
+    ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"),
+    ("&gt;", ">"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&pound;", "£"), ("&euro;", "€"), ("&amp;", "&"),
+]
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -90,42 +98,20 @@ ENRICHED_SQL = (
     "FROM articles a LEFT JOIN dim d USING (source))"
 )
 
-# Run windows, irregular on purpose (seven or eight days, ends on
-# Thursdays and later on Fridays, not the same for each country).
-RUNS = [
-    ("eng", None, "2023-01-01", "2025-12-31"),
-    ("eng", 1, "2026-01-09", "2026-01-15"),
-    ("eng", 2, "2026-01-16", "2026-01-22"),
-    ("eng", 3, "2026-01-23", "2026-01-29"),
-    ("eng", 4, "2026-01-30", "2026-02-05"),
-    ("eng", 5, "2026-02-06", "2026-02-12"),
-    ("eng", 6, "2026-02-13", "2026-02-20"),
-    ("eng", 7, "2026-02-21", "2026-02-27"),
-    ("eng", 8, "2026-02-28", "2026-03-06"),
-    ("eng", 9, "2026-03-07", "2026-03-13"),
-    ("irl", None, "2023-01-01", "2025-12-31"),
-    ("irl", 1, "2026-01-08", "2026-01-15"),
-    ("irl", 2, "2026-01-16", "2026-01-22"),
-    ("irl", 3, "2026-01-23", "2026-01-29"),
-    ("irl", 4, "2026-01-30", "2026-02-05"),
-    ("irl", 5, "2026-02-06", "2026-02-12"),
-    ("irl", 6, "2026-02-13", "2026-02-19"),
-    ("irl", 7, "2026-02-20", "2026-02-27"),
-    ("irl", 8, "2026-02-28", "2026-03-06"),
-    ("irl", 9, "2026-03-07", "2026-03-13"),
-    ("irl", 10, "2026-03-14", "2026-03-20"),
-    ("irl", 11, "2026-03-21", "2026-03-27"),
-    ("sco", None, "2023-01-01", "2025-12-31"),
-    ("sco", 1, "2026-01-08", "2026-01-15"),
-    ("sco", 2, "2026-01-16", "2026-01-22"),
-    ("sco", 3, "2026-01-23", "2026-01-29"),
-    ("sco", 4, "2026-01-30", "2026-02-05"),
-    ("sco", 5, "2026-02-06", "2026-02-12"),
-    ("sco", 6, "2026-02-13", "2026-02-19"),
-    ("sco", 7, "2026-02-20", "2026-02-27"),
-    ("sco", 8, "2026-02-28", "2026-03-06"),
-    ("sco", 9, "2026-03-07", "2026-03-13"),
-]
+def _made_runs() -> list[tuple]:
+    """Run windows, irregular on purpose: seven or eight days, not the same for each country."""
+    made = []
+    for k, country in enumerate(rules.COUNTRY_ORDER):
+        made.append((country, None, "2023-01-01", "2025-12-31"))
+        since = datetime.date(2026, 1, 6 + k)
+        for week in range(1, 10 + k):
+            until = since + datetime.timedelta(days=6 + (week + k) % 2)
+            made.append((country, week, since.isoformat(), until.isoformat()))
+            since = until + datetime.timedelta(days=1)
+    return made
+
+
+RUNS = _made_runs()
 
 RUNS_SQL = (
     "runs AS (SELECT country, CAST(week AS INTEGER) AS week, CAST(since AS DATE) AS since, "

@@ -153,11 +153,6 @@ def first_seen_links(spark, sf):
     )
 
 
-@query("cut_page_cap", f"WITH {LIST_SQL} SELECT source, section, url FROM l WHERE page <= 50")
-def cut_page_cap(spark, sf):
-    return cutoff.page_cap(listing(spark, sf), 50).select("source", "section", "url")
-
-
 @query(
     "cut_loss",
     f"WITH {LIST_SQL}, {FIRST_OLD} SELECT source, section, count(*) AS n_lost FROM l JOIN stops USING (source, section) "

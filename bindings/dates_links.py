@@ -260,7 +260,7 @@ def listing_cards(spark, sf):
         "p_name", F.lit('"><h3>x</h3><a class="k" href="/a/'), key, F.lit('">go</a></div>'),
         F.lit('<div class="gi-card" data-createdat="" data-title="'), "p_brand", F.lit('"><a href="/b/'), key,
         F.lit('">go</a></div><ul><li class="ds_search-result"><h3><a class="ds_search-result__link" href="/c/'), key, F.lit('">'),
-        "p_name", F.lit("</a></h3><dl><dt>Date</dt><dd>"), F.date_format(day, "d MMMM yyyy"),
+        "p_name", F.lit("</a></h3><dl><dt>Type</dt><dd>Publication</dd><dt>Date</dt><dd>"), F.date_format(day, "d MMMM yyyy"),
         F.lit('</dd></dl></li></ul><div id="article-results"><a class="card-item__container" href="/d/'), key,
         F.lit('"><h3 class="card-item__heading"> '), "p_brand", F.lit("</h3></a></div>"),
     )

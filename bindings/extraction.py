@@ -4,13 +4,14 @@ from pyspark.sql import functions as F
 
 from corpusflow import rules
 from corpusflow.functions import html as H
-from corpusflow.functions.links import url_host
+from corpusflow.functions.links import URL_RULES, url_host
 from corpusflow.functions.text import computed, plain, strip_literals
 from corpusflow.operators import extraction, quality
 from corpusflow.plans import corpus
 from corpusflow.sources.files import flatten_posts, read_pages
 
 from .base import (
+    runs,
     ARTICLE_SQL, DIM_SQL, RANKED, TITLE_SQL, blocks_sql, no_script_sql, plain_sql, query, table, text_sql, trim_sql,
 )
 
@@ -108,6 +109,30 @@ def page_titles(spark, sf):
     )
 
 
+@query(
+    "decoded_entities",
+    "SELECT p_partkey, 'é' || p_name || '😀😀' || chr(39) || chr(39) || '&lt;' || '•&bogus;&#0;&#xD800;&' AS text, 'a' || p_partkey || 'c' AS nodes FROM part",
+)
+def decoded_entities(spark, sf):
+    """By name, by number in either base and any length, once each; blank nodes go after decoding."""
+    key = F.col("p_partkey").cast("string")
+    raw = F.concat(F.lit("&eacute;"), "p_name", F.lit("&#128512;&#x1F600;&#X27;&#0000039;&#38;lt;&bull;&bogus;&#0;&#xD800;&"))
+    nodes = F.concat(F.lit("a<b>&#160;</b>"), key, F.lit("<i> &nbsp;</i>c"))
+    return table(spark, sf, "part").select("p_partkey", plain(raw).alias("text"), plain(nodes).alias("nodes"))
+
+
+@query(
+    "nested_elements",
+    "SELECT p_partkey, p_name || '[' || p_brand || ']</p>' AS rest FROM part",
+)
+def nested_elements(spark, sf):
+    """Elements inside one of the same name, and an end tag without a start."""
+    html = F.concat(
+        "p_name", F.lit("<aside>x<aside id='a'>y</aside>z</aside>["), "p_brand", F.lit("<ASIDE><aside></aside><p>w</p></ASIDE>]</aside></p>")
+    )
+    return table(spark, sf, "part").select("p_partkey", H.strip_tags(html, ("aside", "nav")).alias("rest"))
+
+
 @query(
     "plain_fragments",
     "SELECT page_id, " + plain_sql("regexp_extract(html, '(?s)(<nav>.*?</nav>)', 1)", " ") + " AS nav, "
@@ -294,18 +319,39 @@ def listing_pages(spark, sf):
 @query(
     "articles_from_listing",
     f"WITH {LISTED_SQL}, s AS (SELECT page_id, url, {PAGE_SOURCE_SQL} AS source, {text_sql(ARTICLE_SQL)} AS text FROM pages) "
-    f"SELECT s.source, l.url, l.title, CAST(l.date AS VARCHAR) AS date, md5(CASE WHEN source IN {_in(_LACKING)} THEN '' ELSE text END) AS text "
+    f"SELECT s.source, l.url, l.title, CAST(l.date AS VARCHAR) AS date, md5(CASE WHEN source IN {_in(_LACKING)} OR s.page_id % 6 = 0 THEN '' ELSE text END) AS text "
     f"FROM listed l JOIN s USING (url) WHERE source NOT IN ('gov', 'nuffield', 'fft', 'fed', 'gtcs', 'children_in_scotland', 'teaching_council') "
-    "AND NOT (source = 'epi' AND date IS NULL) AND (date IS NULL OR date BETWEEN DATE '2024-02-01' AND DATE '2025-06-30')",
+    "AND NOT (source = 'epi' AND date IS NULL) AND (date IS NULL OR date BETWEEN DATE '2024-02-01' AND DATE '2025-06-30') "
+    f"AND (s.page_id % 6 <> 0 OR source = 'gov_scot') AND source NOT IN {_in(URL_RULES)}",
 )
 def articles_from_listing(spark, sf):
-    # the pages state no dates themselves
-    found = corpus.articles_from_listing(
-        listing(spark, sf), table(spark, sf, "pages"), "2024-02-01", "2025-06-30"
-    )
+    # the pages state no dates themselves; a sixth was not captured; no address has a source's shape
+    pages = table(spark, sf, "pages").filter("page_id % 6 <> 0")
+    found = corpus.articles_from_listing(listing(spark, sf), pages, "2024-02-01", "2025-06-30")
     return found.select("source", "url", "title", F.col("date").cast("string").alias("date"), F.md5("text").alias("text"))
 
 
+@query(
+    "gov_corpus",
+    "SELECT url, CASE page_id % 4 WHEN 0 THEN 'Ofsted' WHEN 1 THEN 'Department for Education' END AS institution_name, "
+    "'training' AS dataset_type, '2024-03-03' AS date FROM pages WHERE page_id % 4 < 2",
+)
+def gov_corpus(spark, sf):
+    """Pages that name their publishers, from the html to routed articles: core bodies stay, under their name."""
+    orgs = F.element_at(
+        F.array(*[F.lit(x) for x in ("Ofsted", "Cabinet Office</a> and <a href='/b'>Department for Education", "Home Office", "")]),
+        (F.col("page_id") % 4 + 1).cast("int"),
+    )
+    html = F.concat(
+        F.lit("<main id='content'><h1 class='govuk-heading-l'>A paper</h1><dl><dt>From:</dt><dd><a href='/a'>"), orgs,
+        F.lit("</a></dd><dt>Published:</dt><dd>3 March 2024</dd></dl><p>"), "url", F.lit("</p></main>"),
+    )
+    pages = table(spark, sf, "pages").select("url", F.lit("gov").alias("source"), html.alias("html"))
+    found = extraction.usable(extraction.extract(pages))
+    out = corpus.build([found], rules.source_dim(spark), runs(spark), rules.country_dim(spark))
+    return out.select("url", "institution_name", "dataset_type", F.col("date").cast("string").alias("date"))
+
+
 FLAGSHIP_SQL = (
     f"WITH x AS (SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, {TITLE_SQL} AS title, "
     f"{text_sql(ARTICLE_SQL)} AS text FROM pages), "

@@ -10,7 +10,8 @@ from corpusflow.operators import clean as C
 from corpusflow.operators import dedup, enrich, filters, ordering, routing
 
 from .base import (
-    ARTICLES_SQL, COUNTRY_SQL, ENRICHED_SQL, RUNS_SQL, TITLE_SQL, articles, day, flag, query, runs, table, trim_sql,
+    ARTICLES_SQL, COUNTRY_SQL, ENRICHED_SQL, RUNS, RUNS_SQL, TITLE_SQL, articles, day, flag, query, runs, table, trim_sql,
+    values_sql,
 )
 from .extraction import LANGUAGES
 
@@ -106,13 +107,26 @@ def administrative_titles(spark, sf):
     return filters.skip_titles(titled(spark, sf), ["tion", "under", "ent"]).select("page_id")
 
 
+@query(
+    "administrative_titles_by_source",
+    "SELECT doc_id FROM documents WHERE NOT (source IN ('src0', 'src1') AND (doc_id % 4 = 1 OR (source = 'src1' AND doc_id % 4 = 2)))",
+)
+def administrative_titles_by_source(spark, sf):
+    """Two sources with lists of their own; the others keep titles of the same kind."""
+    title = F.element_at(F.array(*[F.lit(t) for t in ("News", "Minutes: board", "FOI Release 1", None)]), (F.col("doc_id") % 4 + 1).cast("int"))
+    lists = {"src0": ["minutes:"], "src1": ["minutes:", "foi release"]}
+    return filters.skip_titles_by_source(table(spark, sf, "documents").withColumn("title", title), lists).select("doc_id")
+
+
 @query(
     "date_range",
     "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date FROM orders "
-    "WHERE o_orderdate >= DATE '1996-02-01' AND o_orderdate <= DATE '1998-06-30'",
+    "WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-02-01' AND DATE '1998-06-30'",
 )
 def date_range(spark, sf):
-    kept = filters.date_range(table(spark, sf, "orders"), "1996-02-01", "1998-06-30", "o_orderdate")
+    # at noon, so that the last day ends after midnight
+    orders = table(spark, sf, "orders").withColumn("o_orderdate", F.expr("timestampadd(HOUR, 12, o_orderdate)"))
+    kept = filters.date_range(orders, "1996-02-01", "1998-06-30", "o_orderdate")
     return kept.select("o_orderkey", day("o_orderdate").alias("date"))
 
 
@@ -220,16 +234,30 @@ def source_rule(spark, sf):
     return enrich.apply_source_rule(flagged).select("p_partkey", "institution_name")
 
 
+UNDATED_SQL = (
+    "undated AS (SELECT * REPLACE (CASE WHEN doc_id % 11 <> 0 THEN date END AS date), "
+    "CASE WHEN doc_id % 5 = 0 THEN country || '/2025-12-31' WHEN doc_id % 7 = 0 THEN 'nowhere/present' END AS run_id FROM enriched)"
+)
+
+
+def undated(spark, sf):
+    """Articles of which some have no date, some name their run and some name one that is not there."""
+    run = F.when(F.col("doc_id") % 5 == 0, F.concat("country", F.lit("/2025-12-31"))).when(
+        F.col("doc_id") % 7 == 0, F.lit("nowhere/present")
+    )
+    return enriched(spark, sf).withColumn("date", F.when(F.col("doc_id") % 11 != 0, F.col("date"))).withColumn("run_id", run)
+
+
 @query(
     "default_since",
-    f"WITH {ENRICHED_SQL} SELECT doc_id, CAST(date AS VARCHAR) AS date FROM enriched WHERE date >= CASE country "
+    f"WITH {ENRICHED_SQL}, {UNDATED_SQL} SELECT doc_id, CAST(date AS VARCHAR) AS date FROM undated WHERE date IS NULL OR country IS NULL OR date >= CASE country "
     "WHEN 'eng' THEN DATE '2023-06-01' WHEN 'irl' THEN DATE '2024-01-01' WHEN 'sco' THEN DATE '2023-01-01' END",
 )
 def default_since(spark, sf):
     starts = rules.rows_frame(
         spark, [("eng", "2023-06-01"), ("irl", "2024-01-01"), ("sco", "2023-01-01")], country="STRING", start="DATE"
     )
-    return routing.default_since(enriched(spark, sf), starts).select("doc_id", F.col("date").cast("string").alias("date"))
+    return routing.default_since(undated(spark, sf), starts).select("doc_id", F.col("date").cast("string").alias("date"))
 
 
 BATCH_SQL = (
@@ -259,9 +287,39 @@ def run_windows(spark, sf):
     )
 
 
-@query("routed_articles", f"WITH {ROUTED_SQL} SELECT doc_id, dataset_type, append, batch FROM routed")
+# the runs, and one that is still open
+OPEN_RUN = ("sco", 30, "2026-03-20", None)
+OPEN_RUNS_SQL = "runs AS (SELECT country, CAST(week AS INTEGER) AS week, CAST(since AS DATE) AS since, CAST(until AS DATE) AS until FROM " + values_sql(
+    [*RUNS, OPEN_RUN], "country, week, since, until"
+) + ")"
+_COVERED = "e.country = r.country AND (r.since IS NULL OR e.date >= r.since) AND (r.until IS NULL OR e.date <= r.until)"
+RUN_ROUTED_SQL = (
+    f"{ENRICHED_SQL}, {UNDATED_SQL}, {OPEN_RUNS_SQL}, b AS (SELECT *, {BATCH_SQL} AS batch FROM runs), "
+    "routed AS (SELECT e.doc_id, r.until, r.batch FROM undated e JOIN b r ON "
+    f"(e.run_id = r.country || '/' || r.batch) OR (e.run_id IS NULL AND {_COVERED}))"
+)
+
+
+@query(
+    "routed_articles",
+    f"WITH {RUN_ROUTED_SQL} SELECT doc_id, CASE WHEN until IS NULL OR until <= DATE '2025-12-31' THEN 'training' ELSE 'inference' END AS dataset_type, "
+    "CASE WHEN until IS NULL OR until <= DATE '2025-12-31' THEN 1 ELSE 0 END AS append, batch FROM routed",
+)
 def routed_articles(spark, sf):
-    return routed(spark, sf).select("doc_id", "dataset_type", flag(F.col("append")).alias("append"), "batch")
+    calendar = rules.calendar(spark, [*RUNS, OPEN_RUN])
+    out = routing.route(undated(spark, sf), calendar, countries=rules.country_dim(spark))
+    return out.select("doc_id", "dataset_type", flag(F.col("append")).alias("append"), "batch")
+
+
+@query(
+    "unrouted_articles",
+    f"WITH {RUN_ROUTED_SQL} SELECT doc_id, CASE WHEN run_id IS NOT NULL THEN 'unknown run' WHEN date IS NULL THEN 'no date' ELSE 'no window' END AS reason "
+    "FROM undated WHERE doc_id NOT IN (SELECT doc_id FROM routed)",
+)
+def unrouted_articles(spark, sf):
+    """With routed_articles, every article: none is lost without being named."""
+    calendar = rules.calendar(spark, [*RUNS, OPEN_RUN])
+    return routing.unrouted(undated(spark, sf), calendar, rules.country_dim(spark)).select("doc_id", "reason")
 
 
 @query(
@@ -274,7 +332,7 @@ def routed_without_training(spark, sf):
     """Runs with neither since nor until, and one training country."""
     open_runs = rules.calendar(spark, [(c, None, None, None) for c in rules.COUNTRY_ORDER])
     r = routing.route(
-        enriched(spark, sf), open_runs, training_countries=["eng"], countries=rules.country_dim(spark), horizon="2026-12-31"
+        enriched(spark, sf), open_runs, training_countries=["eng"], countries=rules.country_dim(spark)
     )
     return r.select("doc_id", "dataset_type", flag(F.col("append")).alias("append"), "batch")
 

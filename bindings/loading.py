@@ -189,11 +189,16 @@ def loaded_store(spark, sf):
         {"url": F.md5("text"), "title": F.col("doc_id").cast("string")}
     )
     early = F.col("date") <= F.lit(rules.TRAINING_CUTOFF).cast("date")
-    tie = F.col("title").cast("long").alias("doc_id")
-    training = load.training_records(a.filter(early), F.col("country"))
-    inference = load.inference_records(a.filter(~early), F.col("country"))
-    records = training.unionByName(inference).withColumn("doc_id", tie)
-    store = dedup.dedup_last(records, "url", (*load.PRECEDENCE, "doc_id"))
+    at = F.col("doc_id")
+    training = load.training_records(a.filter(early), F.col("country"), at)
+    records = training.unionByName(load.inference_records(a.filter(~early), F.col("country"), row_order=at))
+    # a load for each country, in order; each reads the version that the one before has written
+    first, *later = [records.filter(F.col("country") == c) for c in rules.COUNTRY_ORDER]
+    root = work_folder(spark, "store")
+    sinks.write_version(load.initial(first), root, 0)
+    for version, batch in enumerate(later, 1):
+        sinks.write_version(load.load(sinks.read_version(spark, root, version - 1), batch), root, version)
+    store = sinks.read_version(spark, root, len(later))
     return store.select("url", "title", "country", "dataset_type", "week_number")
 
 

@@ -9,7 +9,7 @@ from corpusflow.operators import clean as C
 from corpusflow.session import work_folder
 from corpusflow.streaming import ingest
 
-from .base import TITLE_SQL, WS_SQL, query, text_sql, ARTICLE_SQL
+from .base import TITLE_SQL, WS_SQL, query, table, text_sql, ARTICLE_SQL
 from .extraction import LANGUAGES
 from .filters import EXCLUDE, INCLUDE, language_sql, rejected_sql
 
@@ -88,12 +88,16 @@ def streamed_upsert(spark, sf):
     return ingest.current_rows(spark.read.parquet(out), "user_id", ("event_id",)).drop("batch_id")
 
 
-# no SQL: which of several rows of a key a stream meets first is not fixed
-@query("streamed_dedup")
+@query("streamed_dedup", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS url FROM events")
 def streamed_dedup(spark, sf):
+    """Three landings, the last one a backfill of older rows and repeats of known keys."""
     out, checkpoint = _run(spark, "dedup")
-    stream = ingest.landed(spark, _landing(sf, "events"), EVENTS).select(
-        F.col("user_id").cast("string").alias("url"), "event_type", "event_id", F.col("ts").cast("timestamp").alias("ts")
+    landing = work_folder(spark, "landing")
+    events = table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("url"), "event_id", F.col("ts").cast("timestamp").alias("ts")
     )
-    ingest.write_deduped(stream, out, checkpoint, "url", "ts", "40 days")
+    days = F.dayofmonth("ts")
+    for landed in (days.between(11, 20), days > 20, days <= 10):
+        events.filter(landed).write.mode("append").parquet(landing)
+        ingest.write_deduped(ingest.landed(spark, landing, events.schema), out, checkpoint, "url", ("ts", "event_id"))
     return spark.read.parquet(out).select("url")

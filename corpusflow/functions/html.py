@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .sql import TO_END, apply, bind, lam, lit
-from .text import WS_CLASS, decode_sql, drop_tags_sql, first_present, plain, plain_sql, trim_sql
+from .text import WS_CLASS, drop_tags_sql, first_present, plain, plain_sql, trim_sql
 
 _OPEN, _NAME_END, _CLOSE, _BREAK = "\u0001", "\u0002", "\u0003", "\u0004"
 
@@ -113,13 +113,38 @@ def _whole(tag: str) -> str:
     return f"(?is)<{tag}(?:\\s[^>]*)?>.*?</{tag}\\s*>"
 
 
+def _by_depth_sql(x: str, tag: str) -> str:
+    """Text outside all elements of the tag, however deep they nest."""
+    opened = f"regexp_replace(translate({x}, '\u0001\u0002', ''), {lit(f'(?i)<{tag}(?:' + chr(92) + 's[^>]*)?>')}, '\u0001')"
+    marked = f"regexp_replace({opened}, {lit(f'(?i)</{tag}' + chr(92) + 's*>')}, '\u0002')"
+    pieces = f"split({marked}, '(?=[\u0001\u0002])')"
+    return (
+        f"aggregate({pieces}, named_struct('depth', 0, 'kept', CAST(array() AS ARRAY<STRING>)), (acc, p) -> "
+        "CASE WHEN startswith(p, '\u0001') THEN named_struct('depth', acc.depth + 1, 'kept', acc.kept) "
+        "WHEN startswith(p, '\u0002') AND acc.depth > 1 THEN named_struct('depth', acc.depth - 1, 'kept', acc.kept) "
+        "WHEN startswith(p, '\u0002') THEN named_struct('depth', 0, 'kept', array_append(acc.kept, substr(p, 2))) "
+        "WHEN acc.depth > 0 THEN acc ELSE named_struct('depth', 0, 'kept', array_append(acc.kept, p)) END, "
+        "acc -> array_join(acc.kept, ''))"
+    )
+
+
 def strip_tags_sql(x: str, tags) -> str:
-    return reduce(lambda acc, t: f"regexp_replace({acc}, {lit(_whole(t))}, '')", tags, x)
+    def one(acc, tag):
+        # most pages hold no such element within itself: then no end tag is left over
+        def checked(v):
+            return bind(
+                f"regexp_replace({v}, {lit(_whole(tag))}, '')",
+                lambda done: f"CASE WHEN {done} RLIKE {lit('(?i)</' + tag + '[^a-zA-Z]')} THEN {_by_depth_sql(v, tag)} ELSE {done} END",
+            )
+
+        return bind(acc, checked)
+
+    return reduce(one, tags, x)
 
 
 def strip_tags(html: Column, tags) -> Column:
-    """Remove elements with their content."""
-    return reduce(lambda acc, t: F.regexp_replace(acc, _whole(t), ""), tags, html)
+    """Remove elements with their content, those nested in one of the same name included."""
+    return apply(html, lambda v: strip_tags_sql(v, tags))
 
 
 def drop_element_sql(x: str, tag: str, attr: str) -> str:
@@ -161,7 +186,7 @@ def split_sql(x: str, elements, sep: str) -> str:
 
 
 def blocks_sql(x: str, elements=("p",), sep: str = " ") -> str:
-    return split_sql(decode_sql(drop_tags_sql(mark_sql(x, elements), sep)), elements, sep)
+    return split_sql(drop_tags_sql(mark_sql(x, elements), sep), elements, sep)
 
 
 def blocks(html: Column, elements=("p",), sep: str = " ") -> Column:

@@ -130,7 +130,13 @@ def cards(df: DataFrame, rule: CardRule, html: str = "html", keys=("page_id",))
     # the start tag's own attributes belong to the card, so keep them in the piece
     marked = F.regexp_replace(F.translate(F.col(html), _CARD, ""), f"({rule.start})", _CARD + "$1")
     pieces = F.split(marked, _CARD)
-    raw_date = plain(F.regexp_extract("_c", rule.date, 1), " ")
+    # the first of all places that holds a date
+
+    def read(raw):
+        text = plain(raw, " ")
+        return F.coalesce(dates.iso_date(text), dates.find_date(text, dates.DAY_WORD))
+
+    found = F.transform(F.regexp_extract_all("_c", F.lit(rule.date), F.lit(1)), read)
     return (
         df.select(*keys, F.posexplode(F.slice(pieces, F.lit(2), F.lit(TO_END))).alias("pos", "_c"))
         .select(
@@ -138,9 +144,7 @@ def cards(df: DataFrame, rule: CardRule, html: str = "html", keys=("page_id",))
             "pos",
             _first_attr(F.col("_c"), rule.url).alias("url"),
             plain(F.regexp_extract("_c", rule.title, 1)).alias("title"),
-            F.coalesce(
-                dates.iso_date(raw_date), dates.find_date(raw_date, dates.DAY_WORD)
-            ).alias("date"),
+            F.get(F.filter(found, lambda d: d.isNotNull()), F.lit(0)).alias("date"),
         )
     )
 
@@ -180,7 +184,3 @@ URL_RULES = {
     "esri": "^https://www\\.esri\\.ie/(?:news|publications)/[^?]+$",
     "gtcs": "/news/news-and-updates/",
 }
-
-
-def url_matches(c: Column, pattern: str) -> Column:
-    return F.rlike(c, F.lit(pattern))

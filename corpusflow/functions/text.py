@@ -1,6 +1,7 @@
 """Text and HTML fragment functions. Each is Column -> Column and runs in the JVM."""
 
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,15 +20,8 @@ WS_CLASS = "".join(
     f"\\x{{{ord(a):X}}}-\\x{{{ord(b):X}}}" for a, b in zip(_STARTS, _STOPS, strict=True)
 )
 
-# Named entities that occur in article HTML. "&amp;" comes last so
-# that a doubly escaped entity is decoded once only.
-ENTITIES = [
-    ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'),
-    ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&ndash;", "–"),
-    ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"),
-    ("&rdquo;", "”"), ("&hellip;", "…"), ("&pound;", "£"), ("&euro;", "€"),
-    ("&amp;", "&"),
-]
+# Names and letters of HTML entities, from the standard library's table.
+_NAMED = {**{n: chr(c) for n, c in name2codepoint.items()}, "apos": "'"}
 
 
 def computed(df: DataFrame, **columns: Column) -> DataFrame:
@@ -68,53 +62,51 @@ def trim_sql(x: str) -> str:
     return f"btrim({x}, {lit(WHITESPACE)})"
 
 
-def _numeric_sql(x: str) -> str:
-    # "a&#8217;b" splits into "a" and "8217;b"; a head that is not a number is put back
-    rx = lit("(?s)^(x[0-9A-Fa-f]{1,4}|[0-9]{1,5});(.*)$")
+def decode_sql(x: str) -> str:
+    """Each entity decoded once, by number (any code point) or by name; others stay as they are."""
+    # "a&#8217;b" splits into "a" and "#8217;b"
+    rx = lit("(?s)^(#[xX][0-9A-Fa-f]{1,12}|#[0-9]{1,12}|[A-Za-z][A-Za-z0-9]{1,31});(.*)$")
+    names = lit("\u0001".join(f"{n}\u0002{c}" for n, c in _NAMED.items()))
+    table = f"str_to_map({names}, '\u0001', '\u0002')"
 
     def decoded(piece):
+        rest, raw = f"regexp_extract({piece}, {rx}, 2)", f"concat('&', {piece})"
+
         def char(n):
-            return (
-                f"CASE WHEN {n} BETWEEN 1 AND 55295 THEN concat(decode(unhex(lpad(hex(CAST({n} AS BIGINT)), 4, '0')), "
-                f"'UTF-16BE'), regexp_extract({piece}, {rx}, 2)) ELSE concat('&#', {piece}) END"
-            )
+            valid = f"{n} BETWEEN 1 AND 55295 OR {n} BETWEEN 57344 AND 1114111"
+            return f"CASE WHEN {valid} THEN concat(decode(unhex(lpad(hex({n}), 8, '0')), 'UTF-32'), {rest}) ELSE {raw} END"
 
-        def number(code):
-            return bind(
-                f"CASE WHEN startswith({code}, 'x') THEN CAST(conv(substr({code}, 2), 16, 10) AS INT) "
-                f"ELSE try_cast({code} AS INT) END",
-                char,
+        def known(code):
+            number = (
+                f"CASE WHEN lower(substr({code}, 2, 1)) = 'x' THEN try_cast(conv(substr({code}, 3), 16, 10) AS BIGINT) "
+                f"ELSE try_cast(substr({code}, 2) AS BIGINT) END"
+            )
+            return (
+                f"CASE WHEN {code} = '' THEN {raw} WHEN startswith({code}, '#') THEN {bind(number, char)} "
+                f"ELSE coalesce(concat(try_element_at({table}, {code}), {rest}), {raw}) END"
             )
 
-        return bind(f"regexp_extract({piece}, {rx}, 1)", number)
-
-    return bind(
-        f"split({x}, '&#')",
-        lambda p: f"concat({p}[0], array_join(transform(slice({p}, 2, {TO_END}), {lam(decoded)}), ''))",
-    )
-
+        return bind(f"regexp_extract({piece}, {rx}, 1)", known)
 
-def decode_sql(x: str) -> str:
     def body(v):
-        named = reduce(
-            lambda acc, e: f"replace({acc}, {lit(e[0])}, {lit(e[1])})",
-            ENTITIES,
-            f"CASE WHEN contains({v}, '&#') THEN {_numeric_sql(v)} ELSE {v} END",
+        joined = bind(
+            f"split({v}, '&')",
+            lambda p: f"concat({p}[0], array_join(transform(slice({p}, 2, {TO_END}), {lam(decoded)}), ''))",
         )
-        return f"CASE WHEN contains({v}, '&') THEN {named} ELSE {v} END"
+        return f"CASE WHEN contains({v}, '&') THEN {joined} ELSE {v} END"
 
     return bind(x, body)
 
 
 def drop_tags_sql(x: str, sep: str) -> str:
-    # text nodes lie between tags; each is stripped, blank ones go, the rest are joined
-    nodes = f"split(replace({x}, '&nbsp;', '\u00a0'), '<[^>]*>')"
-    stripped = f"transform({nodes}, {lam(trim_sql)})"
+    # text nodes lie between tags; each is decoded and stripped, blank ones go, the rest are joined
+    nodes = f"split({x}, '<[^>]*>')"
+    stripped = f"transform({nodes}, {lam(lambda n: trim_sql(decode_sql(n)))})"
     return f"array_join(filter({stripped}, n -> n <> ''), {lit(sep)})"
 
 
 def plain_sql(x: str, sep: str = "") -> str:
-    return trim_sql(decode_sql(drop_tags_sql(x, sep)))
+    return trim_sql(drop_tags_sql(x, sep))
 
 
 def decode_entities(c: Column) -> Column:

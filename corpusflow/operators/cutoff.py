@@ -178,11 +178,6 @@ def first_seen(df: DataFrame, scope=("source",), key: str = "url", group=GROUP)
     return out.withColumn("is_new", F.coalesce("is_new", F.lit(False))).drop("_ord")
 
 
-def page_cap(df: DataFrame, cap: int) -> DataFrame:
-    """Rows of the first pages only; part of the source's definition, not a sample."""
-    return df.filter(F.col("page") <= cap)
-
-
 def cut(marked: DataFrame) -> DataFrame:
     """Rows a rule kept."""
     return marked.filter("kept").drop("kept", "old", "skip")

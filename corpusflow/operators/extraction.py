@@ -12,7 +12,7 @@ from .. import rules
 from ..functions import dates, html as H
 from ..functions.sql import apply, bind, lit
 from ..functions.text import (
-    computed, decode_sql, drop_tags_sql, first_present, is_blank, plain, plain_sql, strip_literals_sql,
+    computed, drop_tags_sql, first_present, is_blank, plain, plain_sql, strip_literals_sql,
 )
 
 _BLOCKS = "ARRAY<STRUCT<tag: STRING, text: STRING>>"
@@ -38,8 +38,9 @@ def _choose(extract_rules: dict, setting, build, otherwise: str) -> str:
 def text_of(html: Column, extract_rules=None) -> Column:
     """Text that the rule of the row's source selects.
 
-    A page without the wanted container has "" as text, or NULL where the rule
-    says that such a page is no article.
+    A captured page without the wanted container has "" as text, or NULL where the
+    rule says that such a page is no article. A page that was not captured has NULL,
+    or "" where the source's listing alone makes an article.
     """
     use = rules.EXTRACT if extract_rules is None else extract_rules
 
@@ -54,7 +55,7 @@ def text_of(html: Column, extract_rules=None) -> Column:
         lambda c: _choose(use, lambda r: r.removed, lambda v: H.strip_tags_sql(c, v), c),
         # the three parts of H.blocks, so that each is written out once per setting
         lambda c: _choose(use, lambda r: r.elements, lambda v: H.mark_sql(c, v), c),
-        lambda c: decode_sql(_choose(use, lambda r: r.sep, lambda v: drop_tags_sql(c, v), c)),
+        lambda c: _choose(use, lambda r: r.sep, lambda v: drop_tags_sql(c, v), c),
         lambda c: _choose(
             use,
             lambda r: ("li" in r.elements, r.sep if "li" in r.elements else ""),
@@ -74,7 +75,9 @@ def text_of(html: Column, extract_rules=None) -> Column:
         return v
 
     lenient = [s for s, r in use.items() if r.allow_missing]
-    return F.coalesce(apply(html, chain), F.when(F.col("source").isin(lenient), ""))
+    listed = [s for s, r in use.items() if r.keep_uncaptured]
+    empty = F.when(F.when(html.isNull(), F.col("source").isin(listed)).otherwise(F.col("source").isin(lenient)), "")
+    return F.coalesce(apply(html, chain), empty)
 
 
 def with_text(df: DataFrame, extract_rules=None, html: str = "html", to: str = "text") -> DataFrame:
@@ -149,7 +152,8 @@ def extract(pages: DataFrame, extract_rules=None) -> DataFrame:
     """pages(source, url, html, ...) to title, date and text; html is dropped.
 
     A listing's title and date, where given as listing_title and listing_date,
-    come before what the page says.
+    come before what the page says. ``from`` holds the publishing organisations
+    where the source's pages name them.
     """
     use = rules.EXTRACT if extract_rules is None else extract_rules
     title, date = page_title(use), page_date()
@@ -157,7 +161,9 @@ def extract(pages: DataFrame, extract_rules=None) -> DataFrame:
         title = H.pick_title(F.col("listing_title"), title)
     if "listing_date" in pages.columns:
         date = F.coalesce("listing_date", date)
-    found = computed(pages, title=title, date=date, text=text_of(F.col("html"), use))
+    names = F.array_join(H.meta_list(F.col("html"), "from:"), ", ")
+    publishers = F.when(F.col("source").isin(rules.WITH_PUBLISHERS), F.nullif(names, F.lit("")))
+    found = computed(pages, title=title, date=date, text=text_of(F.col("html"), use), **{"from": publishers})
     return found.drop("html", "listing_title", "listing_date")
 
 

@@ -34,10 +34,11 @@ def title_filter(df: DataFrame, exclude=None, include=None, col: str = "title")
 
 
 def title_rejects(
-    df: DataFrame, order, n: int = 10, exclude=None, include=None, col: str = "title"
+    df: DataFrame, order, n: int | None = 10, exclude=None, include=None, col: str = "title"
 ) -> DataFrame:
-    """The first n rows the title filter removes, in the given total order."""
-    return df.filter(is_title_rejected(F.col(col), exclude, include)).orderBy(*order).limit(n)
+    """The first n rows the title filter removes, in the given total order; all with n=None."""
+    rejected = df.filter(is_title_rejected(F.col(col), exclude, include)).orderBy(*order)
+    return rejected if n is None else rejected.limit(n)
 
 
 def skip_titles(df: DataFrame, patterns, col: str = "title") -> DataFrame:
@@ -46,13 +47,28 @@ def skip_titles(df: DataFrame, patterns, col: str = "title") -> DataFrame:
     return df.filter(~contains_any(lowered, patterns))
 
 
+def skip_titles_by_source(df: DataFrame, by_source=None, col: str = "title") -> DataFrame:
+    """Drop each source's own administrative titles; sources without a list keep all."""
+    by_source = rules.SKIP_TITLES if by_source is None else by_source
+    lowered = F.lower(F.coalesce(F.col(col), F.lit("")))
+    hits = [(F.col("source") == s) & contains_any(lowered, patterns) for s, patterns in by_source.items()]
+    return df.filter(~F.coalesce(reduce(lambda a, b: a | b, hits), F.lit(False))) if hits else df
+
+
+def url_shapes(df: DataFrame, by_source, col: str = "url") -> DataFrame:
+    """Keep urls that look like an article of their source; sources without a pattern keep all."""
+    misses = [(F.col("source") == s) & ~F.rlike(F.col(col), F.lit(rx)) for s, rx in by_source.items()]
+    return df.filter(~F.coalesce(reduce(lambda a, b: a | b, misses), F.lit(False))) if misses else df
+
+
 def date_range(df: DataFrame, since=None, until=None, col: str = "date") -> DataFrame:
     """Both ends included, either may be left open. A NULL date passes (see null_dates)."""
     tests = []
     if since is not None:
         tests.append(F.col(col) >= F.lit(since).cast("date"))
     if until is not None:
-        tests.append(F.col(col) <= F.lit(until).cast("date"))
+        # a timestamp on the last day is inside as well
+        tests.append(F.col(col) < F.date_add(F.lit(until).cast("date"), 1))
     return df.filter(F.col(col).isNull() | reduce(lambda a, b: a & b, tests)) if tests else df
 
 
@@ -100,7 +116,7 @@ def language(
     """Language whose term list reaches its threshold.
 
     ``lists`` maps a language to (terms, threshold). A term counts once however
-    often it occurs. Texts shorter than ``min_chars`` get the default. Where
+    often it occurs. Texts shorter than ``min_chars`` get the default (the sources' own rule). Where
     several lists reach their threshold the one with most terms present wins,
     the first named on a tie.
     """

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.text import trim_ws
-from .routing import _by_day
+from .routing import by_day
 
 
 def by_source(df: DataFrame, total: bool = False) -> DataFrame:
@@ -96,7 +96,7 @@ def _per_day(df: DataFrame) -> DataFrame:
 
 def weekly_counts(df: DataFrame, calendar: DataFrame) -> DataFrame:
     """Articles per run window; windows without any count 0."""
-    days = _by_day(calendar.filter(F.col("week").isNotNull()))
+    days = by_day(calendar.filter(F.col("week").isNotNull()))
     return (
         days.join(_per_day(df), ["country", "date"], "left")
         .groupBy("country", "week")
@@ -139,7 +139,7 @@ def coverage(df: DataFrame, calendar: DataFrame) -> DataFrame:
     Per country and day: articles are counted per day first, so the calendar
     meets one row per day rather than one per article.
     """
-    windows = _by_day(calendar).groupBy("country", "date").agg(F.count("*").alias("n_windows"))
+    windows = by_day(calendar).groupBy("country", "date").agg(F.count("*").alias("n_windows"))
     return (
         _per_day(df.filter(F.col("date").isNotNull()))
         .join(windows, ["country", "date"], "left")

@@ -7,9 +7,10 @@ from .. import rules
 from ..functions.text import first_present
 from ..operators.clean import clean
 from ..operators.dedup import dedup_scope, union_sources
-from ..operators.enrich import apply_source_rule, conform, enrich
+from ..operators.enrich import apply_source_rule, conform, enrich, flag_core, primary_org
 from ..operators.extraction import extract, join_pages, usable, with_text
-from ..operators.filters import date_range, null_dates_by_source
+from ..functions.links import URL_RULES
+from ..operators.filters import date_range, null_dates_by_source, skip_titles_by_source, url_shapes
 from ..operators.routing import route
 from ..schema import ARTICLE_COLS
 from ..sources.files import parse_posts
@@ -18,16 +19,17 @@ from ..sources.files import parse_posts
 def articles_from_listing(listing: DataFrame, pages: DataFrame, since=None, until=None) -> DataFrame:
     """Listing items (already cut off) with their page's title, date and text.
 
-    Dates known from the listing are tested before any html is read.
+    Addresses that are no articles, and dates known from the listing, are tested
+    before any html is read. Other columns of the listing, its run_id say, stay.
     """
-    wanted = date_range(dedup_scope(listing), since, until)
+    wanted = date_range(url_shapes(dedup_scope(listing), URL_RULES), since, until)
     found = usable(extract(join_pages(wanted, pages)))
     return null_dates_by_source(date_range(found, since, until))
 
 
-def articles_from_posts(posts: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+def articles_from_posts(posts: DataFrame, pages: DataFrame | None = None, since=None, until=None) -> DataFrame:
     """Feed posts as articles; sources whose feed holds excerpts read the page first."""
-    parsed = parse_posts(posts)
+    parsed = date_range(parse_posts(posts), since, until).withColumn("html", F.coalesce("html", F.lit("")))
     articles = with_text(parsed, rules.FEED_EXTRACT)
     if pages is not None:
         wanted = parsed.filter(F.col("source").isin(rules.PAGE_FIRST)).select("source", "url")
@@ -39,12 +41,22 @@ def articles_from_posts(posts: DataFrame, pages: DataFrame | None = None) -> Dat
 
 
 def build(
-    frames: list[DataFrame], dim: DataFrame, calendar: DataFrame, countries: DataFrame, horizon=None
+    frames: list[DataFrame], dim: DataFrame, calendar: DataFrame, countries: DataFrame
 ) -> DataFrame:
     """Article frames of any sources to one routed frame, before cleaning."""
-    articles = enrich(union_sources(*frames), dim)
-    articles = apply_source_rule(articles) if "core_education" in articles.columns else articles
-    return route(articles, calendar, countries=countries, horizon=horizon)
+    return route(selected(frames, dim), calendar, countries=countries)
+
+
+def selected(frames: list[DataFrame], dim: DataFrame) -> DataFrame:
+    """Enriched articles of all frames that their source's rules let in.
+
+    Pages that name their publishers are flagged and kept by the core bodies among
+    them; administrative titles go.
+    """
+    articles = skip_titles_by_source(enrich(union_sources(*frames), dim))
+    if "from" in articles.columns:
+        articles = primary_org(flag_core(articles))
+    return apply_source_rule(articles) if "core_education" in articles.columns else articles
 
 
 def split(routed: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -56,5 +68,7 @@ def split(routed: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
     ranked = routed.filter(F.col("dataset_type") == "inference").join(
         dim.select("source", "ordinal"), "source", "left"
     )
-    cleaned = clean(ranked, order=("ordinal", "date", "title"), key=("batch", "country", "url"), wide=True)
+    # captures of one page on one day differ by their text at least
+    ranked = ranked.withColumn("_capture", F.xxhash64("text"))
+    cleaned = clean(ranked, order=("ordinal", "date", "title", "_capture"), key=("batch", "country", "url"), wide=True)
     return conform(training), cleaned.select(*ARTICLE_COLS, "batch")

@@ -111,11 +111,8 @@ SKIP_TITLES = {
     "teaching_council": ["maintenance", "downtime", "scheduled outage", "system update"],
 }
 
-# Listing pages read at most, by source.
-PAGE_CAPS = {
-    "rte": 10, "gtcs": 20, "esri_news": 30, "esri_publications": 50,
-    "children_in_scotland": 50, "thejournal": 100,
-}
+# Sources whose pages list the publishing organisations.
+WITH_PUBLISHERS = ["gov"]
 
 
 @dataclass(frozen=True)
@@ -137,6 +134,8 @@ class ExtractRule:
     title: tuple = ("h1", None)
     # False: a page without the container is no article and is left out
     allow_missing: bool = True
+    # True: a listed page that was not captured is an article without text
+    keep_uncaptured: bool = False
 
 
 _BASIC = ("script", "style", "figure", "aside")
@@ -172,7 +171,8 @@ EXTRACT = {
     ),
     "schoolsweek": ExtractRule(_PAGE, _BASIC),
     "gov_scot": ExtractRule(
-        (("main", None), ("div", class_attr("body-content")), ("article", None)), _NAV
+        (("main", None), ("div", class_attr("body-content")), ("article", None)), _NAV,
+        keep_uncaptured=True,
     ),
     "sera": ExtractRule(_PAGE, _BASIC),
     "gtcs": ExtractRule((("main", None),), _NAV_FOOT + ("header",)),

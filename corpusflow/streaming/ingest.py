@@ -7,8 +7,9 @@ retried after a lost executor or driver, so results do not depend on retries.
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.dedup import dedup_last
+from ..operators.dedup import dedup_first, dedup_last
 
 
 def landed(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -79,11 +80,21 @@ def write_weekly_counts(stream: DataFrame, out: str, checkpoint: str, ts: str =
     return _run(counts.writeStream.outputMode("update").foreachBatch(write), checkpoint)
 
 
-def write_deduped(
-    stream: DataFrame, out: str, checkpoint: str, key="url", ts: str = "ts", lateness: str = "7 days"
-):
-    """First row per key, with state kept only as long as late rows may arrive."""
-    deduped = stream.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([key])
-    return _run(
-        deduped.writeStream.format("parquet").option("path", out).outputMode("append"), checkpoint
-    )
+def write_deduped(stream: DataFrame, out: str, checkpoint: str, key="url", order=("ts",)):
+    """First row per key, each key written once however late its other rows arrive.
+
+    A micro batch keeps its first row per key (``order`` must be total) whose key no
+    earlier batch has written; only the key column of the written rows is read. No
+    watermark: a backfill of unseen keys stays, a late repeat goes. A retried batch
+    sees the batches before it only, and replaces its own folder.
+    """
+    schema = T.StructType([stream.schema[key], T.StructField("batch_id", T.LongType())])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        first = dedup_first(batch, key, order)
+        if batch_id:
+            written = batch.sparkSession.read.schema(schema).parquet(out).filter(F.col("batch_id") < batch_id)
+            first = first.join(written.select(key), key, "left_anti").select(*batch.columns)
+        first.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    return _run(stream.writeStream.foreachBatch(write), checkpoint)

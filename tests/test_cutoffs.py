@@ -53,12 +53,11 @@ def test_stale_pages_stop_after_three_in_a_row(spark):
     assert urls(cutoff.stale_pages(listing(spark, ["s", "s", "s", "k"]), 3)) == []
 
 
-def test_unproductive_page_and_cap(spark):
+def test_unproductive_page(spark):
     df = listing(spark, ["k", "s", "k"])
     good = ~F.col("old") & ~F.col("skip")
     assert urls(cutoff.unproductive(df, good, 1)) == ["s0.0"]
     assert urls(cutoff.unproductive(df, good | F.col("skip"), 1)) == ["s0.0", "s2.0"]
-    assert {r.url for r in cutoff.page_cap(df, 1).collect()} == {"s0.0", "s1.0"}
 
 
 def test_first_seen_within_source_or_section(spark):

@@ -155,7 +155,7 @@ def test_routing_follows_the_run_not_the_article(spark):
     )
     rows = [("a", "eng", day("2025-12-30")), ("b", "eng", day("2022-12-31")), ("c", "irl", day("2026-05-01")), ("d", "sco", day("2025-06-01"))]
     df = spark.createDataFrame(rows, "k string, country string, date date")
-    out = routing.route(df, runs, countries=rules.country_dim(spark), horizon="2026-12-31").collect()
+    out = routing.route(df, runs, countries=rules.country_dim(spark)).collect()
     # the article of 30 December lies in a training run and in one that ends after the cutoff
     assert sorted((r.k, r.dataset_type, r.append, r.batch) for r in out) == [
         ("a", "inference", False, "week01_2026-01-01"), ("a", "training", False, "2025-12-31"),
