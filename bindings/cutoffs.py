@@ -4,7 +4,6 @@ A listing page holds six hours of one event type; high values stand for pinned
 old items, low ones for captures that failed.
 """
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusflow.operators import cutoff
@@ -28,9 +27,7 @@ def listing(spark, sf):
         F.col("value").alias("value"),
         "ts", "event_id",
     )
-    # positions are numbered within one page, which is short
-    w = Window.partitionBy("source", "section", "page").orderBy(F.col("ts").desc(), F.col("event_id"))
-    return df.withColumn("pos", F.row_number().over(w)).drop("ts", "event_id")
+    return df.withColumnRenamed("event_id", "pos").drop("ts")
 
 
 def marked(spark, sf, until=UNTIL):
@@ -42,7 +39,7 @@ LIST_SQL = (
     f"CAST(floor(date_diff('microsecond', CAST(ts AS TIMESTAMP), TIMESTAMP '2024-02-01') / {3_600_000_000 * HOURS}.0) AS INTEGER) AS page, "
     "'e' || event_id AS url, CAST(user_id AS VARCHAR) AS author, CASE WHEN value > 300 THEN DATE '2023-12-01' ELSE CAST(ts AS DATE) END AS date, "
     "value < 5 AS failed, value, ts, event_id FROM events), "
-    "l1 AS (SELECT *, row_number() OVER (PARTITION BY source, section, page ORDER BY ts DESC, event_id) AS pos, "
+    "l1 AS (SELECT *, event_id AS pos, "
     f"date < DATE '{SINCE}' AS old, date > DATE '{UNTIL}' AS skip FROM l0), "
     "l AS (SELECT *, row_number() OVER (PARTITION BY source, section ORDER BY page, pos) AS n FROM l1)"
 )

@@ -444,11 +444,18 @@ def cleaned_articles(spark, sf):
 
 @query("cleaned_articles_wide", f"WITH {CLEAN_SQL} SELECT url, source, language, md5(text) AS text FROM cleaned")
 def cleaned_articles_wide(spark, sf):
-    """The same, moving keys rather than texts."""
+    """The same with the key-only exchange asked for by name."""
     out = C.clean(dirty(spark, sf), exclude=EXCLUDE, include=INCLUDE, lists=LANGUAGES, wide=True)
     return out.select("url", "source", "language", F.md5("text").alias("text"))
 
 
+@query("cleaned_articles_lazy", f"WITH {CLEAN_SQL} SELECT url, source, language, md5(text) AS text FROM cleaned")
+def cleaned_articles_lazy(spark, sf):
+    """The same with one exchange of the texts, and no job before it."""
+    out = C.clean(dirty(spark, sf), exclude=EXCLUDE, include=INCLUDE, lists=LANGUAGES, wide=False)
+    return out.select("url", "source", "language", F.md5("text").alias("text"))
+
+
 @query(
     "cleaning_steps",
     f"WITH {CLEAN_SQL}, n AS (SELECT (SELECT count(*) FROM dirty) AS a, (SELECT count(*) FROM nonblank) AS b, "

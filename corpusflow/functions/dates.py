@@ -81,7 +81,7 @@ def labelled_date(html: Column, labels=("published:", "updated:")) -> Column:
     names = ", ".join(lit(x) for x in labels)
 
     def first(v):
-        wanted = f"filter({meta_pairs_sql(v)}, m -> m.label IN ({names}))"
+        wanted = f"filter({meta_pairs_sql(v, labels)}, m -> m.label IN ({names}))"
         parsed = lam(lambda p: f"try_to_date({plain_sql(f'{p}.value', ' ')}, 'd MMMM yyyy')")
         return _first_written(f"transform({wanted}, {parsed})")
 

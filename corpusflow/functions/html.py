@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .sql import TO_END, apply, bind, lam, lit
-from .text import WS_CLASS, drop_tags_sql, first_present, plain, plain_sql, trim_sql
+from .text import WS_CLASS, contains_any_sql, drop_tags_sql, first_present, plain, plain_sql, trim_sql
 
 _OPEN, _NAME_END, _CLOSE, _BREAK = "\u0001", "\u0002", "\u0003", "\u0004"
 
@@ -259,12 +259,17 @@ def pick_title(listing_title: Column, page_title: Column) -> Column:
 _DT_DD = "(?is)<dt(?:\\s[^>]*)?>(.*?)</dt>\\s*<dd(?:\\s[^>]*)?>(.*?)</dd>"
 
 
-def meta_pairs_sql(x: str) -> str:
+def meta_pairs_sql(x: str, labels=()) -> str:
+    """All pairs, or those in which one of the labels is written, as (label, value)."""
     def pair(p):
         label = plain_sql(f"regexp_extract({p}, {lit(_DT_DD)}, 1)")
         return f"named_struct('label', lower({label}), 'value', regexp_extract({p}, {lit(_DT_DD)}, 2))"
 
-    return f"transform(regexp_extract_all({x}, {lit(_DT_DD)}, 0), {lam(pair)})"
+    found = f"regexp_extract_all({x}, {lit(_DT_DD)}, 0)"
+    if labels:
+        # only what may be wanted is cleaned
+        found = f"filter({found}, {lam(lambda p: contains_any_sql(f'lower({p})', labels))})"
+    return f"transform({found}, {lam(pair)})"
 
 
 def meta_pairs(html: Column) -> Column:
@@ -277,7 +282,7 @@ def meta_list(html: Column, label: str) -> Column:
     anchor = lit("(?is)<a(?:\\s[^>]*)?>(.*?)</a>")
 
     def links(v):
-        wanted = f"filter({meta_pairs_sql(v)}, m -> m.label = {lit(label)})"
+        wanted = f"filter({meta_pairs_sql(v, [label])}, m -> m.label = {lit(label)})"
         found = f"flatten(transform({wanted}, m -> regexp_extract_all(m.value, {anchor}, 1)))"
         return f"transform({found}, {lam(plain_sql)})"
 

@@ -9,13 +9,13 @@ from .filters import drop_blank, flag_language, is_title_rejected, title_filter
 
 
 def clean(
-    df: DataFrame, order=("ordinal", "pos"), exclude=None, include=None, lists=None, key="url", wide: bool = False
+    df: DataFrame, order=("ordinal", "pos"), exclude=None, include=None, lists=None, key="url", wide: bool = True
 ) -> DataFrame:
     """Blank text out, title filter, language flag, keep-first by key; in this order.
 
-    The first three are one narrow stage; the last is the only exchange. With
-    ``wide`` that exchange carries keys instead of texts (see dedup_first_wide);
-    languages are then flagged after it, for the rows that stay.
+    The first three are one narrow stage; the last is the only exchange, which
+    carries keys instead of texts (see dedup_first_wide; runs a job); languages are
+    flagged after it, for the rows that stay. Without ``wide`` it is lazy, and texts move.
     """
     kept = df.transform(drop_blank).transform(title_filter, exclude, include)
     if wide:

@@ -4,9 +4,11 @@ A listing is read page by page and position by position until a stop rule fires;
 ``old`` rows lie before the date range, ``skip`` rows after it, rows without a
 date are neither. What follows the stop is lost, in range or not.
 
-One source may hold a large share of all rows, so no window spans a source. Each
-rule finds its stop with aggregates over bounded groups (a page, or a run of
-pages), combines one small row per group, and then filters the listing.
+One source may hold a large share of all rows, so no window sorts the rows of a
+source. Each rule finds its stop with aggregates over a few pages at a time and
+combines one small row for each such chunk in order. The stops, a row per group, are
+written out, so that Catalyst knows their size and need not shuffle the listing
+on the few groups it has. So a rule runs a job when it is called.
 """
 
 from functools import reduce
@@ -14,6 +16,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import sized
+
 GROUP = ("source", "section")
 
 
@@ -37,9 +41,7 @@ def _ord(df: DataFrame) -> DataFrame:
 
 
 def _with_stop(df: DataFrame, stops: DataFrame, group) -> DataFrame:
-    # One row per group on the right, with a few numbers. Adaptive execution
-    # broadcasts it where it is small and splits a hot group where it is not.
-    return df.join(stops, list(group), "left")
+    return df.join(sized(stops, "stops"), list(group), "left")
 
 
 def _finish(df: DataFrame, reached, extra=()) -> DataFrame:
@@ -107,7 +109,7 @@ def streak_stops(
 
 def streak(
     df: DataFrame, k: int, scope: str = "listing", reset_on_failed: bool = True,
-    group=GROUP, chunk_pages: int = 1024,
+    group=GROUP, chunk_pages: int = 32,
 ) -> DataFrame:
     """Stop at the k-th consecutive old row. Adds kept.
 
@@ -143,7 +145,7 @@ def _page_stop(df: DataFrame, flag, k: int, group, chunk_pages: int) -> DataFram
     return streak_stops(chunked, k, "_bad", group)
 
 
-def unproductive(df: DataFrame, flag, k: int = 1, group=GROUP, chunk_pages: int = 4096) -> DataFrame:
+def unproductive(df: DataFrame, flag, k: int = 1, group=GROUP, chunk_pages: int = 512) -> DataFrame:
     """Stop after k consecutive pages without a row for which ``flag`` holds. Adds kept.
 
     Rows of the stopping page itself still count.
@@ -154,7 +156,7 @@ def unproductive(df: DataFrame, flag, k: int = 1, group=GROUP, chunk_pages: int
     return _finish(out, reached, ("_stop",))
 
 
-def stale_pages(df: DataFrame, k: int = 3, group=GROUP, chunk_pages: int = 4096) -> DataFrame:
+def stale_pages(df: DataFrame, k: int = 3, group=GROUP, chunk_pages: int = 512) -> DataFrame:
     """Stop after k consecutive pages with no dated row inside the range. Adds kept."""
     in_range = F.col("date").isNotNull() & ~F.col("old") & ~F.col("skip")
     return unproductive(df, in_range, k, group, chunk_pages)
