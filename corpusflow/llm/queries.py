@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import lattice_lm
+from . import lattice_lm, sql
 from .byte_bpe import round_trip
 from .chat_format import digests, format_records, records_of
 from .decontaminate import contamination
@@ -15,7 +15,11 @@ from .token_files import read_token_files, write_token_files
 from .toxicity import score_with_labels
 
 QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_chat_format": sql.CHAT,
+    "op5_embedding_dedup": sql.VECTORS,
+    "op9_decontamination": sql.CONTAMINATION,
+}
 
 
 def _table(spark, sf, name):
