@@ -1,15 +1,16 @@
 """Language-model scores: the marginal probability of a text over all its segmentations.
 
-Units are the pieces of an existing vocabulary, the most frequent words of the
-training texts, one unit for a character that no piece covers, and the end of a
-text. Their first weights are the vocabulary's scores (merge ranks, read by Zipf's
-law) and word counts; expected counts over the training words then replace them
-(forward-backward, a few rounds). A word's probability sums over all its
-segmentations in log space, a text's is the product of its words' and of the end.
-
-The corpus counts of the base score cover all words: the most frequent ones, a
-bounded table, go to the workers; each text's other words meet their counts in a
-shuffled join.
+Units are the pieces of an existing vocabulary, one unit for a character that no
+piece covers, and every training word as a whole. The first weights of the pieces are
+the vocabulary's scores (merge ranks, read by Zipf's law); expected counts over the
+training words, each word once, then replace them (forward-backward, a few rounds). A
+word's probability sums over all its segmentations in log space: those into pieces,
+by forward recursion, and the one edge that spans it, with its count less DISCOUNT.
+What is discounted is the weight of the pieces. A text's probability is the product
+of its words' and of the end's; all texts together have at most one.
+
+Corpus counts cover all words: the most frequent ones, a bounded table, go to the
+workers; each text's other words meet their counts in a shuffled join.
 """
 
 import math
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import Memory, documents, stored, utf8
 
 FREQUENT = 200_000  # words whose counts are sent to the workers
-WORD_UNITS = 100_000  # of them, units of the lattice
+DISCOUNT = 0.5  # of each word's count, for the pieces
 ROUNDS = 2
 MARK = "▁"
 KEPT = 150_000  # remembered words for each worker
@@ -51,8 +52,8 @@ def _by_length(words: list[str]):
 class Units:
     """Strings with log probabilities, found in words by a rolling hash."""
 
-    def __init__(self, strings: list[str], logs: np.ndarray, unknown: float, end: float):
-        self.strings, self.logs, self.unknown, self.end = strings, np.asarray(logs), unknown, end
+    def __init__(self, strings: list[str], logs: np.ndarray, unknown: float):
+        self.strings, self.logs, self.unknown = strings, np.asarray(logs), unknown
         keys = np.zeros(len(strings), np.uint64)
         for rows, letters in _by_length(strings):
             keys[rows] = self._sums(letters)[:, -1]
@@ -117,22 +118,16 @@ class Units:
                 total += np.bincount(unit % len(total), share, len(total))  # -1 is the last place
         return total
 
-    def again(self, counts: np.ndarray, ends: float) -> "Units":
+    def again(self, counts: np.ndarray) -> "Units":
         """The same units with probabilities from counts; none is left without."""
-        smooth = np.append(counts + 0.01, ends + 0.01)
-        logs = np.log(smooth / smooth.sum())
-        return Units(self.strings, logs[:-2], logs[-2], logs[-1])
+        logs = np.log((counts + 0.01) / (counts + 0.01).sum())
+        return Units(self.strings, logs[:-1], logs[-1])
 
 
-def first_units(pieces: list[str], word_counts: list[tuple[str, int]], tokens: int, ends: int) -> Units:
-    """Half of the weight by the rank of the pieces in their vocabulary, half by word counts."""
-    words = [MARK + w for w, _ in word_counts]
-    known = set(words)
-    pieces = [p for p in pieces if p not in known]
+def first_units(pieces: list[str]) -> Units:
+    """Weights by the rank of the pieces in their vocabulary."""
     zipf = 1 / (np.arange(len(pieces)) + 10.0)
-    share = np.array([c for _, c in word_counts], float) / max(1, tokens)
-    logs = np.log(np.concatenate([0.45 * zipf / max(zipf.sum(), 1e-9), 0.45 * share + 1e-12]))
-    return Units(pieces + words, logs, math.log(0.01), math.log(max(1, ends) / max(1, tokens + ends)))
+    return Units(pieces, np.log(0.99 * zipf / zipf.sum()), math.log(0.01))
 
 
 def vocabulary_pieces(path: str) -> list[str]:
@@ -186,12 +181,12 @@ def _expected(counts: DataFrame, units: Units) -> np.ndarray:
         for batch in batches:
             words = [w.decode() for w in batch.column("word").to_pylist()]
             if words:
-                total += shared.value.expected(words, batch.column("c").to_numpy().astype(float))
+                total += shared.value.expected(words, np.ones(len(words)))
         some = np.flatnonzero(total)
         yield pa.record_batch([pa.array(some), pa.array(total[some])], ["unit", "n"])
 
     # a row for each unit at most: the vocabulary bounds what reaches the driver
-    rows = counts.mapInArrow(run, "unit long, n double").groupBy("unit").agg(F.sum("n").alias("n")).toArrow()
+    rows = counts.select("word").mapInArrow(run, "unit long, n double").groupBy("unit").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(len(units.strings) + 1)
     out[rows.column("unit").to_numpy()] = rows.column("n").to_numpy()
     shared.unpersist()
@@ -219,14 +214,16 @@ def score_texts(
     n, v = tokens + ends, words + (ends > 0)
     top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
     frequent = dict(zip(top.column("word").to_pylist(), top.column("c").to_pylist(), strict=True))
-    units = first_units(
-        vocabulary_pieces(vocabulary), [(w.decode(), c) for w, c in list(frequent.items())[:WORD_UNITS]], tokens, ends
-    )
+    units = first_units(vocabulary_pieces(vocabulary))
     for _ in range(rounds if tokens else 0):
-        units = units.again(_expected(counts, units), ends)
+        units = units.again(_expected(counts, units))
+    # weight of the pieces, and of the end; without training they share
+    pieces_share, end_share = (DISCOUNT * words / n, ends / n) if n else (0.5, 0.5)
+    per_token = 1 / max(1, n)
     below = math.log10(n + v + 1)
     shared = spark.sparkContext.broadcast((units, {w: (c, math.log10(c + 1) - below) for w, c in frequent.items()}))
-    end_base, end_known = math.log10(ends + 1) - below, int(ends > 0)
+    end_base, end_known, end_score = math.log10(ends + 1) - below, int(ends > 0), math.log10(end_share)
+    log_pieces = math.log10(pieces_share) if pieces_share else -400.0
     memory = Memory(KEPT)
 
     def run(batches):
@@ -236,7 +233,13 @@ def score_texts(
             ids = batch.column("doc_id").slice(lo, len(texts)).to_pylist()
             new = memory.missing(set().union(*texts))
             known = memory.now
-            known.update(zip(new, (model.log_words([w.decode() for w in new]) / math.log(10)).tolist(), strict=True))
+            if new:
+                # log10 by pieces; a frequent word's whole edge is added at once
+                value = model.log_words([w.decode() for w in new]) / math.log(10) + log_pieces
+                whole = np.array([(table[w][0] - DISCOUNT) * per_token if w in table else 0.0 for w in new])
+                with np.errstate(divide="ignore"):
+                    value = np.logaddexp(value * math.log(10), np.log(whole)) / math.log(10)
+                known.update(zip(new, value.tolist(), strict=True))
             out, rare = [], []
             for doc, ws in zip(ids, texts, strict=True):
                 seen = [x for w in ws if (x := table.get(w))]
@@ -245,23 +248,29 @@ def score_texts(
                     for w in ws:
                         if w not in table:
                             tail[w] = tail.get(w, 0) + 1
-                    rare += [(row, w, k) for w, k in tail.items()]
+                    rare += [(row, w, k, known[w]) for w, k in tail.items()]
                 base = math.fsum([x[1] for x in seen]) + end_base
-                score = math.fsum(map(known.__getitem__, ws)) + model.end / math.log(10)
+                score = math.fsum([known[w] for w in ws if w in table]) + end_score
                 out.append((row, doc, len(ws) + 1, len(seen) + end_known, base, score))
                 row += 1
             yield _rows(out, rare)
 
     schema = "row long, word binary, times long, doc_id long, n_tokens long, n_known long, base_score double, score double"
     scored = stored(documents(docs, id_col, text_col).mapInArrow(run, schema), "scores")
+    # the larger of both terms is taken out, so that neither vanishes
+    whole = F.log10((F.coalesce("c", F.lit(0)) - DISCOUNT) * per_token)
+    top = F.greatest("pieces", F.when(F.col("c").isNotNull(), whole))
+    both = F.pow(F.lit(10.0), F.col("pieces") - top) + F.coalesce(F.when(F.col("c").isNotNull(), F.pow(F.lit(10.0), whole - top)), F.lit(0.0))
+    log_sum = top + F.log10(both)
     tail = (
         scored.filter("word is not null")
-        .select("row", "word", "times")
+        .select("row", "word", "times", F.col("score").alias("pieces"))
         .join(counts, "word", "left")
         .groupBy("row")
         .agg(
             F.sum(F.col("times") * (F.log10(F.coalesce("c", F.lit(0)) + 1) - below)).alias("rare_base"),
             F.sum(F.when(F.col("c").isNotNull(), F.col("times"))).alias("rare_known"),
+            F.sum(F.col("times") * log_sum).alias("rare_score"),
         )
     )
     return (
@@ -270,21 +279,22 @@ def score_texts(
         .select(
             "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
             F.lit(n).cast("long").alias("train_tokens"),
-            (F.col("base_score") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"), "score",
+            (F.col("base_score") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
+            (F.col("score") + F.coalesce("rare_score", F.lit(0.0))).alias("score"),
         )
     )
 
 
 def _rows(texts: list[tuple], rare: list[tuple]) -> pa.RecordBatch:
     row, doc, tokens, known, base, score = zip(*texts, strict=True) if texts else [()] * 6
-    of, word, times = zip(*rare, strict=True) if rare else [()] * 3
+    of, word, times, pieces = zip(*rare, strict=True) if rare else [()] * 4
     a, b = len(row), len(of)
     return pa.record_batch(
         [
             pa.array([*row, *of], pa.int64()), pa.array([*[None] * a, *word], pa.binary()),
             pa.array([*[None] * a, *times], pa.int64()), pa.array([*doc, *[None] * b], pa.int64()),
             pa.array([*tokens, *[None] * b], pa.int64()), pa.array([*known, *[None] * b], pa.int64()),
-            pa.array([*base, *[None] * b], pa.float64()), pa.array([*score, *[None] * b], pa.float64()),
+            pa.array([*base, *[None] * b], pa.float64()), pa.array([*score, *pieces], pa.float64()),
         ],
         ["row", "word", "times", "doc_id", "n_tokens", "n_known", "base_score", "score"],
     )
