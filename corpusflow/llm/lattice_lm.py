@@ -14,6 +14,7 @@ workers; each text's other words meet their counts in a shuffled join.
 """
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -57,10 +58,30 @@ class Units:
         keys = np.zeros(len(strings), np.uint64)
         for rows, letters in _by_length(strings):
             keys[rows] = self._sums(letters)[:, -1]
-        self.order = np.argsort(keys)
-        self.keys = keys[self.order]
+        self._fill(keys)
         self.longest = max(map(len, strings), default=1)
 
+    def _fill(self, keys: np.ndarray):
+        """An open-addressing table, sparse enough that a key is at most a few places off."""
+        bits = max(8, int(len(keys) * 8).bit_length())
+        self.shift, size = np.uint64(64 - bits), 1 << bits
+        self.keys, self.unit = np.zeros(size + 64, np.uint64), np.full(size + 64, -1, np.int32)
+        self.reach = 0
+        for unit, (key, slot) in enumerate(zip(keys.tolist(), (keys >> self.shift).tolist(), strict=True)):
+            at = slot
+            while self.unit[at] >= 0:
+                at += 1
+            self.keys[at], self.unit[at] = key, unit
+            self.reach = max(self.reach, at - slot)
+
+    def _find(self, key: np.ndarray) -> np.ndarray:
+        """The unit of each key, -1 where there is none."""
+        slot = (key >> self.shift).astype(np.int64)
+        found = np.where(self.keys[slot] == key, self.unit[slot], -1)
+        for step in range(1, self.reach + 1):
+            found = np.where(self.keys[slot + step] == key, self.unit[slot + step], found)
+        return found
+
     @staticmethod
     def _sums(letters: np.ndarray) -> np.ndarray:
         value = _hash_letters(letters)
@@ -80,9 +101,8 @@ class Units:
         for j in range(1, n + 1):
             for i in range(max(0, j - self.longest), j):
                 key = sums[:, j] - sums[:, i] * power[j - i]
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                found = self.keys[at] == key
-                unit = np.where(found, self.order[at], -1)
+                unit = self._find(key)
+                found = unit >= 0
                 weight = np.where(found, self.logs[unit], -np.inf)
                 if j - i == 1:
                     weight = np.where(found, weight, self.unknown - n_bytes[:, i] * math.log(256))
@@ -143,6 +163,17 @@ def vocabulary_pieces(path: str) -> list[str]:
     return [p for _, _, p in sorted(found)]
 
 
+_MEMORY: dict[str, Memory] = {}
+
+
+def _memory(model: str) -> Memory:
+    """A worker's memory of the words of one model, kept from task to task."""
+    if model not in _MEMORY:
+        _MEMORY.clear()
+        _MEMORY[model] = Memory(KEPT)
+    return _MEMORY[model]
+
+
 def _batches_of_words(batches):
     """(batch, first row, words of each text): A-Z lowered, cut at ASCII white space."""
     for batch in batches:
@@ -173,6 +204,19 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def _frequent(counts: DataFrame) -> DataFrame:
+    """The words above the lowest count level, an eighth of an octave, that lets FREQUENT of them in at most."""
+    level = F.floor(F.log2("c") * 8)
+    sizes = {r.level: r.n for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()}
+    kept, lowest = 0, 1 << 60
+    for at in sorted(sizes, reverse=True):
+        kept += sizes[at]
+        if kept > FREQUENT:
+            break
+        lowest = at
+    return counts.filter(level >= lowest)
+
+
 def _expected(counts: DataFrame, units: Units) -> np.ndarray:
     shared = counts.sparkSession.sparkContext.broadcast(units)
 
@@ -212,7 +256,7 @@ def score_texts(
     words, tokens = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
     ends = learnt.count()
     n, v = tokens + ends, words + (ends > 0)
-    top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
+    top = _frequent(counts).toArrow()
     frequent = dict(zip(top.column("word").to_pylist(), top.column("c").to_pylist(), strict=True))
     units = first_units(vocabulary_pieces(vocabulary))
     for _ in range(rounds if tokens else 0):
@@ -224,10 +268,11 @@ def score_texts(
     shared = spark.sparkContext.broadcast((units, {w: (c, math.log10(c + 1) - below) for w, c in frequent.items()}))
     end_base, end_known, end_score = math.log10(ends + 1) - below, int(ends > 0), math.log10(end_share)
     log_pieces = math.log10(pieces_share) if pieces_share else -400.0
-    memory = Memory(KEPT)
+    name = uuid.uuid4().hex
 
     def run(batches):
         model, table = shared.value
+        memory = _memory(name)
         row = TaskContext.get().partitionId() << 33
         for batch, lo, texts in _batches_of_words(batches):
             ids = batch.column("doc_id").slice(lo, len(texts)).to_pylist()
