@@ -8,8 +8,11 @@ from .byte_bpe import round_trip
 from .chat_format import digests, format_records, records_of
 from .decontaminate import contamination
 from .embedding_dedup import near_vectors
+from .filter_audit import audit
 from .license_scan import find_licenses
+from .packing import pack
 from .simhash_dedup import hex_digits, near_duplicates
+from .spelling import spelling_variants
 from .suffix_dedup import remove_repeats
 from .token_files import read_token_files, write_token_files
 from .toxicity import score_with_labels
@@ -19,6 +22,8 @@ ORACLE: dict[str, str] = {
     "op2_chat_format": sql.CHAT,
     "op5_embedding_dedup": sql.VECTORS,
     "op9_decontamination": sql.CONTAMINATION,
+    "op11_spelling": sql.SPELLING,
+    "op12_filter_audit": sql.AUDIT,
 }
 
 
@@ -106,3 +111,23 @@ QUERIES |= {
     "op6_lattice_lm": op6_lattice_lm,
     "op10_toxicity": op10_toxicity,
 }
+
+
+def op11_spelling(spark, sf):
+    return spelling_variants(_table(spark, sf, "documents"), damage=97)
+
+
+def op12_filter_audit(spark, sf):
+    return audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+def op13_packing(spark, sf):
+    out = pack(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return out.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+QUERIES |= {
+    "op11_spelling": op11_spelling,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_packing": op13_packing,
+}

@@ -59,3 +59,75 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+# crc32 by its table of 256 entries, which the polynomial gives
+SPELLING = r"""
+WITH RECURSIVE crc_bits AS (
+  SELECT i, CAST(i AS BIGINT) AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc_bits WHERE k < 8
+), crc_table AS (SELECT list(c ORDER BY i) AS entries FROM crc_bits WHERE k = 8),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM documents WHERE text IS NOT NULL
+), seen AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(list_reduce(
+    list_transform(regexp_extract_all(hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)), '..'), lambda x: CAST('0x' || x AS BIGINT)),
+    lambda acc, b: xor(acc >> 8, entries[CAST(xor(acc, b) & 255 AS INT) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS h
+  FROM seen, crc_table
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, n
+    FROM hashed
+  ) GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3
+), lacking AS (
+  SELECT word, n, 0 AS k, word AS rest FROM words
+  UNION ALL SELECT word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM words)
+), near AS (
+  SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM lacking a JOIN lacking b ON a.rest = b.rest AND a.word <> b.word
+  WHERE a.k = b.k OR a.k = 0 OR b.k = 0
+), best AS (
+  SELECT word, count(*) AS n_near, max(n) AS n, first(near ORDER BY near_n DESC, near) AS form, max(near_n) AS form_n FROM near GROUP BY word
+), led AS (
+  SELECT w.word, CASE WHEN b.form_n >= 2 * w.n THEN b.form END AS form, w.n, coalesce(b.n_near, 0) AS n_near,
+    CASE WHEN b.form_n >= 2 * w.n THEN b.form_n END AS form_n
+  FROM words w LEFT JOIN best b USING (word)
+), chain AS (
+  SELECT word, form AS root FROM led WHERE form IS NOT NULL
+  UNION ALL SELECT c.word, l.form FROM chain c JOIN led l ON l.word = c.root WHERE l.form IS NOT NULL
+), last AS (SELECT c.word, c.root FROM chain c JOIN led l ON l.word = c.root WHERE l.form IS NULL)
+SELECT l.word, l.form, coalesce(r.root, l.word) AS root, l.n, l.n_near, l.form_n FROM led l LEFT JOIN last r USING (word)
+"""
+
+AUDIT = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+), tests AS (
+  SELECT doc_id, part, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, length(t) AS size, length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS capitals,
+    regexp_matches(t, '[#$%&*|]') AS d, coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false) AS e FROM docs
+), good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1), bad AS (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1),
+failing AS (
+  SELECT part, doc_id IN (SELECT doc_id FROM good) AS good, doc_id IN (SELECT doc_id FROM bad) AS toxic,
+    [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * capitals > 2 * size, d, e] AS fails FROM tests
+), kinds AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failing GROUP BY part, fails),
+orders AS (
+  SELECT '' AS o
+  UNION ALL SELECT o || f FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f) WHERE NOT contains(o, f)
+), steps AS (SELECT o, k, substr(o, k, 1) AS f, substr(o, 1, k - 1) AS before FROM orders, range(1, 6) t(k) WHERE length(o) = 5),
+tested AS (
+  SELECT part, o, k, f, n, good, toxic, fails[ascii(f) - 64] AS own,
+    len(list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: contains(before, x) AND fails[ascii(x) - 64])) > 0 AS gone,
+    len(list_filter(fails, lambda x: x)) AS n_failed
+  FROM kinds, steps
+), counted AS (
+  SELECT part, o, k, f, sum(n) FILTER (NOT gone AND NOT own) AS kept, sum(n) FILTER (NOT gone AND own) AS removed,
+    sum(n) FILTER (gone AND own) AS redundant, sum(n) FILTER (own AND n_failed = 1) AS unique_fails,
+    sum(good) FILTER (NOT gone AND own) AS good_lost, sum(toxic) FILTER (NOT gone AND own) AS toxic_lost
+  FROM tested GROUP BY ALL
+)
+SELECT part, o AS filter_order, CAST(k AS INT) AS step,
+  CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+  CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost, CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""

@@ -18,6 +18,11 @@ COLUMNS = {
     "op8_token_files": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op9_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     "op10_toxicity": ["doc_id", "held_out", "score", "predicted"],
+    "op11_spelling": ["word", "form", "root", "n", "n_near", "form_n"],
+    "op12_filter_audit": [
+        "part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley",
+    ],
+    "op13_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
 }
 
 
@@ -31,7 +36,12 @@ def test_columns_and_rows(spark, name):
     out = QUERIES[name](spark, SF)
     assert out.columns == COLUMNS[name]
     table = "conversations" if "conv_id" in out.columns else "embeddings" if "vec_id" in out.columns else "documents"
-    if name != "op3_license_scan":
+    if name in ("op11_spelling", "op12_filter_audit"):
+        assert out.count() > 0
+    elif name == "op13_packing":
+        docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id")
+        assert out.select("doc_id").distinct().count() == docs.distinct().count()
+    elif name != "op3_license_scan":
         key = out.columns[0]
         rows = spark.read.parquet(f"{SF}/{table}.parquet").select(key).distinct().count()
         assert out.count() == rows + (name == "op2_chat_format")
