@@ -10,7 +10,6 @@ all it can waste beyond the packing itself, however much it packs.
 """
 
 import functools
-import os
 
 import numpy as np
 import pyarrow as pa
@@ -18,49 +17,43 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .byte_bpe import Codec
+from .byte_bpe import PATTERN, codec
 from .common import documents
 
 OPEN = 1024  # bins open at a time
 BLOCK = 1024  # pieces that wait for each other
-TEXT_BYTES = 2 << 20  # of texts encoded at once
 KINDS = {
     "doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids": pa.binary(),
     "sequence_id": pa.int64(), "offset": pa.int64(),
 }
 
 
-class ChunkCoder(Codec):
-    """The library's ids of white-space chunks, remembered."""
+class Coder:
+    """The ids that the vocabulary file gives, by the merges of a compiled library.
+
+    Its pattern and its ranks are those of the file, so the ids are too. Its pattern
+    gives up on very long white space; such a text is merged by ``Codec``.
+    """
 
     def __init__(self, path: str):
-        super().__init__(path)
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tool = Tokenizer.from_file(path)
-        self.tool.no_truncation()
-        self.tool.no_padding()
-
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Many chunks in one call, kept apart by a special token: no chunk holds one, texts are cut at them."""
-        ids_of = functools.partial(self.tool.encode_batch_fast, add_special_tokens=False)
-        if not self.special:
-            return {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(chunks, ids_of(chunks), strict=True)}
-        mark, mark_id = next(iter(self.special.items()))
-        found = {}
-        for lo in range(0, len(chunks), 2000):
-            part = chunks[lo : lo + 2000]
-            ids = np.array(ids_of([mark.join(part)])[0].ids, "<u4")
-            cuts = np.concatenate([[-1], np.flatnonzero(ids == mark_id), [len(ids)]]).tolist()
-            raw = ids.tobytes()
-            found |= {c: raw[4 * (a + 1) : 4 * b] for c, a, b in zip(part, cuts[:-1], cuts[1:], strict=True)}
-        return found
+        import tiktoken
+
+        self.own = codec(path)
+        special = self.own.special
+        ranks = {b: i for i, b in self.own.bytes_of.items() if i not in special.values()}
+        self.tool = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        try:
+            return self.tool.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+        except ValueError:
+            return self.own.encode([text])[0]
 
 
 @functools.lru_cache(maxsize=4)
-def chunk_coder(path: str) -> ChunkCoder:
-    return ChunkCoder(path)
+def coder_of(path: str) -> Coder:
+    return Coder(path)
 
 
 class OpenBins:
@@ -116,7 +109,7 @@ def pack(
     """
 
     def run(batches):
-        coder, bins = chunk_coder(path), OpenBins(capacity, open_bins)
+        coder, bins = coder_of(path), OpenBins(capacity, open_bins)
         base = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
         end, width = np.array([end_id], "<u4").tobytes(), 4 * capacity
         waiting, out = [], []
@@ -132,26 +125,19 @@ def pack(
             return pa.record_batch(columns, list(KINDS))
 
         for batch in batches:
-            ids_of, texts, lo = batch.column("doc_id").to_pylist(), batch.column("text"), 0
-            while lo < len(ids_of):
-                hi, taken = lo, 0
-                while hi < len(ids_of) and taken < TEXT_BYTES:
-                    taken += len(texts[hi].as_buffer())
-                    hi += 1
-                for doc, code in zip(ids_of[lo:hi], coder.encode(texts.slice(lo, hi - lo).to_pylist()), strict=True):
-                    code += end
-                    cuts = [0, *range(len(code) % width or width, len(code) + 1, width)]
-                    for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                        if b - a == width:
-                            place([(doc, piece, a >> 2, code[a:b])])
-                        else:
-                            waiting.append((doc, piece, a >> 2, code[a:b]))
-                        if len(waiting) >= block:
-                            place(waiting)
-                            waiting = []
-                        if len(out) >= block:
-                            yield emptied()
-                lo = hi
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                code = coder.encode(text.as_py()) + end
+                cuts = [0, *range(len(code) % width or width, len(code) + 1, width)]
+                for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                    if b - a == width:
+                        place([(doc, piece, a >> 2, code[a:b])])
+                    else:
+                        waiting.append((doc, piece, a >> 2, code[a:b]))
+                    if len(waiting) >= block:
+                        place(waiting)
+                        waiting = []
+                    if len(out) >= block:
+                        yield emptied()
         place(waiting)
         if out:
             yield emptied()

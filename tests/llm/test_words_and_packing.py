@@ -245,9 +245,12 @@ def test_packing_is_near_the_bound_and_keeps_few_bins_open():
     assert max(used.values()) <= 2048 and len(used) <= 1.005 * bounds(lengths, 2048)
 
 
-def test_codes_like_the_library(spark):
-    coder, tool = packing.ChunkCoder(public_tokenizers.path("byte_bpe_50k.json")), library()
+def test_codes_like_the_library():
+    coder, tool = packing.Coder(public_tokenizers.path("byte_bpe_50k.json")), library()
     rng = random.Random(1)
     alphabet = ["a", "B", " ", "  ", "\n", "\t", "'s", "'", "é", "中", "😀", "½", "3", "<|endoftext|>", "\x85", "　", "-", "\x00"]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(500)]
-    assert [list(np.frombuffer(c, "<u4")) for c in coder.encode(texts)] == [tool.encode(t, add_special_tokens=False).ids for t in texts]
+    letters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts += [f"a{c}1 {c} {c}{c}b  {c}" for c in rng.sample(letters, 20_000)] + [" " * 3_000_000 + "a", "x" * 200_000]
+    want = [e.ids for e in tool.encode_batch_fast(texts, add_special_tokens=False)]
+    assert all(coder.encode(t) == np.array(ids, "<u4").tobytes() for t, ids in zip(texts, want, strict=True))
