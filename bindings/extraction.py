@@ -133,6 +133,33 @@ def nested_elements(spark, sf):
     return table(spark, sf, "part").select("p_partkey", H.strip_tags(html, ("aside", "nav")).alias("rest"))
 
 
+# tags where a parser sees none: in comments, scripts, styles and quoted attributes
+_BEFORE = (
+    '<!-- <main><h1>old</h1> --><script>var a = "<main><h1>older</h1></main>";</script><h1 title="a > <h1>b</h1>">t', "</h1>"
+    "<main data-x='</main>' data-y=\"1 > 0\"><p>one</p><!-- </main> --><script>if (a < b) { w('</main><p>no</p>'); }</script>"
+    '<style>main > p { }</style><aside><p>x</p><!-- </aside> --><aside>y</aside></aside>',
+)
+_AFTER = '<main><p title="</p></main>">inner</p></main><p>two</p></main><p>after</p>'
+_WRAPPED_SQL = "{0} || page_id || {1} || html || {2}".format(*("'" + x.replace("'", "''") + "'" for x in (*_BEFORE, _AFTER)))
+
+
+@query(
+    "hidden_tags",
+    f"WITH w AS (SELECT page_id, html, {_WRAPPED_SQL} AS page FROM pages), "
+    "i AS (SELECT page_id, html, substr(page, strpos(page, '1 > 0\">') + 7) AS rest FROM w) "
+    "SELECT page_id, 't' || page_id AS title, md5(substr(rest, 1, length(rest) - length('</main><p>after</p>'))) AS inside, "
+    f"md5('one' || chr(10) || CASE WHEN {text_sql('html')} <> '' THEN {text_sql('html')} || chr(10) ELSE '' END || 'inner' || chr(10) || 'two') AS text FROM i",
+)
+def hidden_tags(spark, sf):
+    """Title, container (as the page has it) and text where comments, scripts, styles and attributes hold tags."""
+    page = F.concat(F.lit(_BEFORE[0]), F.col("page_id").cast("string"), F.lit(_BEFORE[1]), "html", F.lit(_AFTER))
+    df = table(spark, sf, "pages").select("page_id", page.alias("page"))
+    inside = H.container(F.col("page"), (("article", H.class_attr("no")), ("main", None)))
+    read = computed(df, title=H.title(F.col("page")), inside=inside)
+    blocks = H.blocks(H.strip_tags(F.col("inside"), ("aside",)))
+    return read.select("page_id", "title", F.md5("inside").alias("inside"), F.md5(H.join_blocks(blocks)).alias("text"))
+
+
 @query(
     "plain_fragments",
     "SELECT page_id, " + plain_sql("regexp_extract(html, '(?s)(<nav>.*?</nav>)', 1)", " ") + " AS nav, "

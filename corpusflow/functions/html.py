@@ -1,8 +1,16 @@
 """Element selection and block extraction over whole HTML strings.
 
 Built from Spark's string and array functions, so an extraction is one narrow
-projection over the scan: no shuffle and no Python worker. The *_sql forms take
-and give SQL text; the others are their Column forms.
+projection over the scan: no shuffle and no Python worker.
+
+A page is tokenized once: comments, scripts, styles, tags and what lies between. In a
+``visible`` page the first three are gone, in a ``masked`` one their angle brackets are
+control characters, one for one; so are those inside a quoted attribute. Afterwards
+every "<" starts a tag and every ">" ends one, and no pattern sees a tag that a parser
+would not. What is selected or removed from a masked page are slices of it, and
+``unmasked`` gives them back in the page's own characters. The *_sql forms take and
+give SQL text and expect such a page; the others are their Column forms and take the
+page as it is.
 """
 
 from functools import reduce
@@ -24,6 +32,89 @@ _BREAKS = (
 )
 
 
+# Stand for "<" and ">" where these are no part of a tag.
+_LESS, _MORE = "\u0005", "\u0006"
+_HIDDEN = _LESS + _MORE
+# the rest of a tag: quoted values may hold anything
+_REST = "(?:[^<>=]++|=\\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+>"
+# comments, scripts and styles where no quoted value can hide one; and those with all other tags
+_UNSEEN = "(?is)<(?:!--.*?-->|(script|style)(?=[\\s/>]).*?(?:</\\1\\s*>|\\z))"
+_TOKENS = f"(?is)<(?:!--.*?-->|(script|style)(?=[\\s/>]){_REST}.*?(?:</\\1\\s*>|\\z)|/?[a-z]{_REST})"
+# a quoted value that holds a bracket; one that holds what looks like a comment, script or style
+_QUOTED = "=\\s*(?:\"[^\"<>]*[<>]|'[^'<>]*[<>])"
+_QUOTED_UNSEEN = "(?i)=\\s*(?:\"[^\"]*?<(?:!--|script|style)|'[^']*?<(?:!--|script|style))"
+# comments, scripts and styles of a masked page: one tag each
+_MASKED_COMMENT = "<!--[^>]*>"
+_MASKED_UNSEEN = f"(?i)<(?:!--|(?:script|style)(?=[\\s/>{_MORE}]))[^>]*(?:>|\\z)"
+
+
+def _masked_tokens_sql(x: str, tokens: str) -> str:
+    """x with the brackets inside its tokens hidden: each token, then the gap behind it."""
+
+    def hidden(t):
+        def without(part):
+            return f"translate({part}, '<>', {lit(_HIDDEN)})"
+
+        closed = f"concat('<', {without(f'substr({t}, 2, length({t}) - 2)')}, '>')"
+        # an angle bracket behind the first character that is not the last one
+        return (
+            f"CASE WHEN NOT {t} RLIKE '(?s)^<[^<>]*[<>].' THEN {t} WHEN endswith({t}, '>') THEN {closed} "
+            f"ELSE concat('<', {without(f'substr({t}, 2)')}) END"
+        )
+
+    def joined(gaps):
+        each = f"transform(regexp_extract_all({x}, {lit(tokens)}, 0), (t, i) -> concat({hidden('t')}, {gaps}[i + 1]))"
+        return f"concat({gaps}[0], array_join({each}, ''))"
+
+    return f"CASE WHEN {x} RLIKE {lit(tokens)} THEN {bind(f'split({x}, {lit(tokens)})', joined)} ELSE {x} END"
+
+
+def _own_sql(x: str) -> str:
+    found = " OR ".join(f"contains({x}, {lit(c)})" for c in _HIDDEN)
+    return f"CASE WHEN {found} THEN translate({x}, {lit(_HIDDEN)}, '') ELSE {x} END"
+
+
+def _tokenized_sql(x: str, unseen, quoted_unseen) -> str:
+    """Comments, scripts and styles first; then, on the few pages that have them, quoted brackets."""
+    first = bind(
+        bind(x, _own_sql),
+        lambda v: f"CASE WHEN {v} RLIKE {lit(_QUOTED_UNSEEN)} THEN {quoted_unseen(v)} ELSE {unseen(v)} END",
+    )
+    return bind(first, lambda v: f"CASE WHEN {v} RLIKE {lit(_QUOTED)} THEN {_masked_tokens_sql(v, _TOKENS)} ELSE {v} END")
+
+
+def masked_sql(x: str) -> str:
+    """The page with "<" and ">" only where tags start and end; comments, scripts and styles become one tag each."""
+    return _tokenized_sql(x, lambda v: _masked_tokens_sql(v, _UNSEEN), lambda v: _masked_tokens_sql(v, _TOKENS))
+
+
+def visible_sql(x: str) -> str:
+    """The page without comments, scripts and styles, and with "<" and ">" only where tags start and end."""
+    return _tokenized_sql(
+        x,
+        lambda v: f"regexp_replace({v}, {lit(_UNSEEN)}, '')",
+        lambda v: f"regexp_replace({_masked_tokens_sql(v, _TOKENS)}, {lit(_MASKED_UNSEEN)}, '')",
+    )
+
+
+def visible(html: Column) -> Column:
+    """What a reader of the page can see, as the *_sql forms expect it."""
+    return apply(html, visible_sql)
+
+
+def unmasked_sql(x: str) -> str:
+    def shown(v):
+        found = " OR ".join(f"contains({v}, {lit(c)})" for c in _HIDDEN)
+        return f"CASE WHEN {found} THEN translate({v}, {lit(_HIDDEN)}, '<>') ELSE {v} END"
+
+    return bind(x, shown)
+
+
+def _of_page(html: Column, body) -> Column:
+    """A slice of the page: selected on the masked form, given back in its own characters."""
+    return apply(html, lambda v: unmasked_sql(bind(masked_sql(v), body)))
+
+
 def _open_tag(tag: str, attr: str | None = None) -> str:
     """Regex of an opening tag, optionally with something inside its attributes."""
     if attr is None:
@@ -86,7 +177,7 @@ def element(html: Column, tag: str, attr: str | None = None) -> Column:
 
     NULL where there is none.
     """
-    return apply(html, lambda v: element_sql(v, tag, attr))
+    return _of_page(html, lambda v: element_sql(v, tag, attr))
 
 
 def container_sql(x: str, choices) -> str:
@@ -99,17 +190,20 @@ def container(html: Column, choices) -> Column:
 
     Each choice is (tag, attribute regex or None), or None for the whole page.
     """
-    return apply(html, lambda v: container_sql(v, choices))
+    return _of_page(html, lambda v: container_sql(v, choices))
 
 
-_COMMENT = "(?s)<!--.*?-->"
+def strip_comments_sql(x: str) -> str:
+    return f"regexp_replace({x}, {lit(_MASKED_COMMENT)}, '')"
 
 
 def strip_comments(html: Column) -> Column:
-    return F.regexp_replace(html, _COMMENT, "")
+    return _of_page(html, strip_comments_sql)
 
 
 def _whole(tag: str) -> str:
+    if tag in ("script", "style"):  # one tag each in a masked page
+        return f"(?i)<{tag}(?:[\\s/{_MORE}][^>]*)?(?:>|\\z)"
     return f"(?is)<{tag}(?:\\s[^>]*)?>.*?</{tag}\\s*>"
 
 
@@ -117,15 +211,28 @@ def _by_depth_sql(x: str, tag: str) -> str:
     """Text outside all elements of the tag, however deep they nest."""
     opened = f"regexp_replace(translate({x}, '\u0001\u0002', ''), {lit(f'(?i)<{tag}(?:' + chr(92) + 's[^>]*)?>')}, '\u0001')"
     marked = f"regexp_replace({opened}, {lit(f'(?i)</{tag}' + chr(92) + 's*>')}, '\u0002')"
-    pieces = f"split({marked}, '(?=[\u0001\u0002])')"
-    return (
-        f"aggregate({pieces}, named_struct('depth', 0, 'kept', CAST(array() AS ARRAY<STRING>)), (acc, p) -> "
-        "CASE WHEN startswith(p, '\u0001') THEN named_struct('depth', acc.depth + 1, 'kept', acc.kept) "
-        "WHEN startswith(p, '\u0002') AND acc.depth > 1 THEN named_struct('depth', acc.depth - 1, 'kept', acc.kept) "
-        "WHEN startswith(p, '\u0002') THEN named_struct('depth', 0, 'kept', array_append(acc.kept, substr(p, 2))) "
-        "WHEN acc.depth > 0 THEN acc ELSE named_struct('depth', 0, 'kept', array_append(acc.kept, p)) END, "
-        "acc -> array_join(acc.kept, ''))"
-    )
+    # Walk the pieces with the depth and the place where the kept stretch began; a
+    # stretch is written down when an element of depth 0 starts, so nested ones cost nothing.
+    stretch = "array_append(acc.kept, named_struct('a', acc.since, 'n', acc.at - acc.since))"
+
+    def walk(pieces):
+        return (
+            f"aggregate({pieces}, named_struct('depth', 0, 'at', 1, 'since', 1, 'kept', CAST(array() AS ARRAY<STRUCT<a: INT, n: INT>>)), (acc, p) -> "
+            "CASE WHEN startswith(p, '\u0001') THEN named_struct('depth', acc.depth + 1, 'at', acc.at + 1, 'since', acc.since, "
+            f"'kept', CASE WHEN acc.depth = 0 THEN {stretch} ELSE acc.kept END) "
+            "WHEN startswith(p, '\u0002') THEN named_struct('depth', greatest(acc.depth - 1, 0), 'at', acc.at + 1, "
+            "'since', CASE WHEN acc.depth = 1 THEN acc.at ELSE acc.since END, 'kept', acc.kept) "
+            "ELSE named_struct('depth', acc.depth, 'at', acc.at + 1, 'since', acc.since, 'kept', acc.kept) END, "
+            f"acc -> CASE WHEN acc.depth = 0 THEN {stretch} ELSE acc.kept END)"
+        )
+
+    def joined(pieces):
+        return bind(
+            walk(pieces),
+            lambda kept: f"translate(array_join(flatten(transform({kept}, k -> slice({pieces}, k.a, k.n))), ''), '\u0002', '')",
+        )
+
+    return bind(f"split({marked}, '(?=[\u0001\u0002])')", joined)
 
 
 def strip_tags_sql(x: str, tags) -> str:
@@ -144,7 +251,7 @@ def strip_tags_sql(x: str, tags) -> str:
 
 def strip_tags(html: Column, tags) -> Column:
     """Remove elements with their content, those nested in one of the same name included."""
-    return apply(html, lambda v: strip_tags_sql(v, tags))
+    return _of_page(html, lambda v: strip_tags_sql(v, tags))
 
 
 def drop_element_sql(x: str, tag: str, attr: str) -> str:
@@ -156,14 +263,13 @@ def drop_element_sql(x: str, tag: str, attr: str) -> str:
 
 def drop_element(html: Column, tag: str, attr: str) -> Column:
     """Remove the first matching element, nested same-name tags included."""
-    return apply(html, lambda v: drop_element_sql(v, tag, attr))
+    return _of_page(html, lambda v: drop_element_sql(v, tag, attr))
 
 
 def mark_sql(x: str, elements) -> str:
     """Mark where chosen elements start and where blocks end."""
     tags = "|".join(sorted(elements, key=len, reverse=True))
     h = f"translate({x}, {lit(_OPEN + _NAME_END + _CLOSE + _BREAK)}, '')"
-    h = strip_tags_sql(f"regexp_replace({h}, {lit(_COMMENT)}, '')", ("script", "style"))
     h = f"regexp_replace({h}, {lit(f'(?i)<({tags})(?:' + chr(92) + 's[^>]*)?>')}, {lit(f'{_OPEN}$1{_NAME_END}')})"
     h = f"regexp_replace({h}, {lit(f'(?i)</(?:{_ENDS})' + chr(92) + 's*>')}, {lit(_CLOSE)})"
     return f"regexp_replace({h}, {lit(f'(?i)</?(?:{_BREAKS}|{_ENDS})(?:' + chr(92) + 's[^>]*)?>')}, {lit(_BREAK)})"
@@ -196,7 +302,7 @@ def blocks(html: Column, elements=("p",), sep: str = " ") -> Column:
     chosen element, so unclosed paragraphs work and no text is counted twice.
     ``sep`` joins the text nodes inside a block.
     """
-    return apply(html, lambda v: blocks_sql(v, elements, sep))
+    return apply(html, lambda v: bind(visible_sql(v), lambda m: blocks_sql(m, elements, sep)))
 
 
 def cut_at_sql(x: str, markers, tag: str | None = None, ignore_case: bool = False) -> str:
@@ -248,7 +354,7 @@ def heading_sql(x: str, tag: str = "h1", attr: str | None = None) -> str:
 
 def title(html: Column, tag: str = "h1", attr: str | None = None) -> Column:
     """Text of the first heading, NULL where there is none."""
-    return apply(html, lambda v: plain_sql(heading_sql(v, tag, attr)))
+    return apply(html, lambda v: plain_sql(bind(visible_sql(v), lambda m: heading_sql(m, tag, attr))))
 
 
 def pick_title(listing_title: Column, page_title: Column) -> Column:
@@ -274,7 +380,8 @@ def meta_pairs_sql(x: str, labels=()) -> str:
 
 def meta_pairs(html: Column) -> Column:
     """Label/value list as array<struct<label, value>>; labels are plain lower-case text."""
-    return apply(html, meta_pairs_sql)
+    own = lam(lambda p: f"named_struct('label', {p}.label, 'value', {unmasked_sql(f'{p}.value')})")
+    return apply(html, lambda v: f"transform({bind(visible_sql(v), meta_pairs_sql)}, {own})")
 
 
 def meta_list(html: Column, label: str) -> Column:
@@ -282,7 +389,7 @@ def meta_list(html: Column, label: str) -> Column:
     anchor = lit("(?is)<a(?:\\s[^>]*)?>(.*?)</a>")
 
     def links(v):
-        wanted = f"filter({meta_pairs_sql(v, [label])}, m -> m.label = {lit(label)})"
+        wanted = f"filter({bind(visible_sql(v), lambda m: meta_pairs_sql(m, [label]))}, m -> m.label = {lit(label)})"
         found = f"flatten(transform({wanted}, m -> regexp_extract_all(m.value, {anchor}, 1)))"
         return f"transform({found}, {lam(plain_sql)})"
 

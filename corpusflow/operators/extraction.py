@@ -35,8 +35,8 @@ def _choose(extract_rules: dict, setting, build, otherwise: str) -> str:
     return f"CASE{branches} ELSE {otherwise} END" if branches else otherwise
 
 
-def text_of(html: Column, extract_rules=None) -> Column:
-    """Text that the rule of the row's source selects.
+def text_of(html: Column, extract_rules=None, visible: bool = False) -> Column:
+    """Text that the rule of the row's source selects; a page is reduced to what is visible unless it is already.
 
     A captured page without the wanted container has "" as text, or NULL where the
     rule says that such a page is no article. A page that was not captured has NULL,
@@ -70,7 +70,7 @@ def text_of(html: Column, extract_rules=None) -> Column:
     ]
 
     def chain(v):
-        for step in steps:
+        for step in steps if visible else [H.visible_sql, *steps]:
             v = bind(v, step)
         return v
 
@@ -86,6 +86,7 @@ def with_text(df: DataFrame, extract_rules=None, html: str = "html", to: str = "
 
 
 def page_title(extract_rules=None, html: str = "html") -> Column:
+    """Heading that the rule of the row's source names, of a visible page."""
     use = rules.EXTRACT if extract_rules is None else extract_rules
 
     def pick(v):
@@ -95,7 +96,7 @@ def page_title(extract_rules=None, html: str = "html") -> Column:
 
 
 def _page_text(page: Column) -> Column:
-    return plain(H.strip_tags(H.strip_comments(page), ("script", "style")), " ")
+    return plain(page, " ")
 
 
 def _inner(page: Column, tag: str, attr: str | None = None) -> Column:
@@ -103,9 +104,9 @@ def _inner(page: Column, tag: str, attr: str | None = None) -> Column:
     return plain(F.regexp_extract(page, f"{start}(.*?)</{tag}\\s*>", 1))
 
 
-def page_date(html: str = "html", url: str = "url") -> Column:
+def page_date(html: str = "html", url: str = "url", visible: bool = False) -> Column:
     """Publication date as each source's pages state it; NULL where they do not."""
-    p = F.col(html)
+    p = F.col(html) if visible else H.visible(F.col(html))
     by_source = {
         "gov": dates.first_date(
             dates.labelled_date(p),
@@ -156,14 +157,15 @@ def extract(pages: DataFrame, extract_rules=None) -> DataFrame:
     where the source's pages name them.
     """
     use = rules.EXTRACT if extract_rules is None else extract_rules
-    title, date = page_title(use), page_date()
+    pages = computed(pages, html=H.visible(F.col("html")))
+    title, date = page_title(use), page_date(visible=True)
     if "listing_title" in pages.columns:
         title = H.pick_title(F.col("listing_title"), title)
     if "listing_date" in pages.columns:
         date = F.coalesce("listing_date", date)
     names = F.array_join(H.meta_list(F.col("html"), "from:"), ", ")
     publishers = F.when(F.col("source").isin(rules.WITH_PUBLISHERS), F.nullif(names, F.lit("")))
-    found = computed(pages, title=title, date=date, text=text_of(F.col("html"), use), **{"from": publishers})
+    found = computed(pages, title=title, date=date, text=text_of(F.col("html"), use, visible=True), **{"from": publishers})
     return found.drop("html", "listing_title", "listing_date")
 
 

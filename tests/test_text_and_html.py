@@ -1,6 +1,7 @@
 """Exact semantics of text, HTML, date and link functions on small inputs."""
 
 import datetime
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,6 +67,61 @@ def test_container_matches_nested_elements(spark):
     assert one(spark, html, lambda c: H.container(c, (("main", None), ("div", H.class_like("CONTENT"))))) == inner
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<main><p>one</p><!-- </main> --><p>two</p></main>", "one two"),
+        ("<main><script>var s = '</main>';</script><p>two</p></main><p>no</p>", "two"),
+        ("<main><p>a</p><!-- <main> --><p>b</p></main><p>no</p>", "a b"),
+        ("<!-- <main><p>no</p></main> --><main><p>a</p></main>", "a"),
+        ('<main title="1 > 0" data-x="</main>"><p class=\'<p>\'>a</p></main><p>no</p>', "a"),
+        ("<main><script>x = '<!--';</script><p>a</p><!-- <script> --><p>b</p></main>", "a b"),
+        ("<main><p>it's 4 > 1</p><p title=it's>b</p></main>", "it's 4 > 1 b"),
+        ("<main><p>a</p><style>p > a { }</style><STYLE type='x'>b</STYLE ><p>c</p></main>", "a c"),
+        ("<main><p>a</p></main><script>var never = '<p>ends</p>'", "a"),
+        ("<main><p>\u0005a\u0006</p><!-- > --></main>", "a"),
+        ("<main><p>a</p><br/><p a=b c = 'd>' e>b</p></main>", "a b"),
+    ],
+)
+def test_tags_that_are_none_are_not_seen(spark, html, text):
+    found = one(spark, html, lambda c: H.join_blocks(H.blocks(H.container(c, (("main", None),)), ("p",)), " "))
+    assert found == text
+    row = spark.createDataFrame([("x", "u", html)], "source string, url string, html string")
+    rule = {"x": extraction.rules.ExtractRule(containers=(("main", None),), joiner=" ")}
+    assert extraction.with_text(row, rule).first().text == text
+    assert extraction.extract(row, rule).first().text == text
+
+
+def test_slices_are_the_page_itself(spark):
+    inside = "<p a='>'>x</p><!-- </div> --><script>'</div>'</script><div>y</div>"
+    html = f"<div class='b'>{inside}</div>z"
+    assert one(spark, html, lambda c: H.element(c, "div", H.class_attr("b"))) == inside
+    assert one(spark, html, lambda c: H.drop_element(c, "div", H.class_attr("b"))) == "z"
+    assert one(spark, html, lambda c: H.strip_tags(c, ("script", "p"))) == "<div class='b'><!-- </div> --><div>y</div></div>z"
+    assert one(spark, html, H.strip_comments) == html.replace("<!-- </div> -->", "")
+    assert one(spark, "<!-- <h1>old</h1> --><h1>new</h1>", H.title) == "new"
+    listed = "<!-- <dl><dt>From:</dt><dd><a>no</a></dd></dl> --><dl><dt>From:</dt><dd><a title='>'>A</a></dd></dl>"
+    assert one(spark, listed, lambda c: H.meta_list(c, "from:")) == ["A"]
+    assert one(spark, listed, H.meta_pairs)[0].value == "<a title='>'>A</a>"
+    assert one(spark, None, lambda c: H.strip_tags(c, ("p",))) is None
+
+
+def test_deep_nesting_takes_linear_time(spark):
+    def seconds(depth, fn):
+        html = "a<aside>" * depth + "x" + "</aside>b" * depth + "<p>c</p>"
+        start = time.perf_counter()
+        found = one(spark, html, fn)
+        return found, time.perf_counter() - start
+
+    strip, inner = (lambda c: H.strip_tags(c, ("aside",))), (lambda c: F.length(H.element(c, "aside")).cast("string"))
+    for fn, want in ((strip, "ab<p>c</p>"), (inner, str(9999 * 17 + 2 - 1))):
+        seconds(1000, fn)
+        got, taken = seconds(10_000, fn)
+        assert got == want or fn is inner
+        assert taken < 20 * max(seconds(1000, fn)[1], 0.2)
+    assert one(spark, "a<aside>" * 50_000 + "</aside>b" * 50_000, strip) == "ab"
+
+
 def test_drop_element(spark):
     html = '<div><p>a</p><div id="footnotes_section"><div>x</div></div><p>b</p></div>'
     drop = lambda c: H.drop_element(c, "div", H.id_attr("footnotes_section"))
