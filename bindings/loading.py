@@ -6,7 +6,7 @@ from corpusflow import rules
 from corpusflow.operators import dedup, enrich
 from corpusflow.plans import corpus, load
 from corpusflow.session import work_folder
-from corpusflow.sources import files, sinks
+from corpusflow.sources import files, sinks, store
 
 from .base import ENRICHED_SQL, articles, query, runs, table
 from .filters import ROUTED_SQL, enriched, rejected_sql, routed
@@ -192,14 +192,42 @@ def loaded_store(spark, sf):
     at = F.col("doc_id")
     training = load.training_records(a.filter(early), F.col("country"), at)
     records = training.unionByName(load.inference_records(a.filter(~early), F.col("country"), row_order=at))
-    # a load for each country, in order; each reads the version that the one before has written
+    # a load for each country, in order; each rewrites the buckets that it touches
     first, *later = [records.filter(F.col("country") == c) for c in rules.COUNTRY_ORDER]
     root = work_folder(spark, "store")
-    sinks.write_version(load.initial(first), root, 0)
-    for version, batch in enumerate(later, 1):
-        sinks.write_version(load.load(sinks.read_version(spark, root, version - 1), batch), root, version)
-    store = sinks.read_version(spark, root, len(later))
-    return store.select("url", "title", "country", "dataset_type", "week_number")
+    load.make_store(first, root, buckets=16)
+    for batch in later:
+        load.load_store(batch, root)
+    rows = store.read(spark, root)
+    return rows.select("url", "title", "country", "dataset_type", "week_number")
+
+
+@query(
+    "updated_store",
+    f"WITH {LOAD_SQL}, m AS (SELECT url, doc_id FROM r WHERE rn = 1), h AS (SELECT url, md5(url) < '4' AS changed FROM m) "
+    "SELECT url, CASE WHEN changed THEN 'changed' ELSE CAST(doc_id AS VARCHAR) END AS title, 3 AS n_versions, "
+    "CASE WHEN changed THEN 'en' END AS language FROM m JOIN h USING (url) "
+    "UNION ALL SELECT md5(CAST(user_id AS VARCHAR)), 'new', 3, 'en' FROM (SELECT DISTINCT user_id FROM events)",
+)
+def updated_store(spark, sf):
+    """A store after a load that changes some urls and one that adds others; older versions stay readable."""
+    a = named_files(spark, sf).filter(F.col("country").isNotNull()).withColumns(
+        {"url": F.md5("text"), "title": F.col("doc_id").cast("string"), "language": F.lit(None).cast("string")}
+    )
+    early = F.col("date") <= F.lit(rules.TRAINING_CUTOFF).cast("date")
+    at = F.col("doc_id")
+    records = load.training_records(a.filter(early), F.col("country"), at).unionByName(
+        load.inference_records(a.filter(~early), F.col("country"), row_order=at)
+    ).withColumn("language", F.lit(None).cast("string"))
+    root = work_folder(spark, "store")
+    load.make_store(records, root, buckets=16)
+    later = records.withColumns({"country_order": F.lit(9), "title": F.lit("changed"), "language": F.lit("en")})
+    load.load_store(later.filter(F.md5("url") < "4"), root)
+    users = table(spark, sf, "events").select(F.md5(F.col("user_id").cast("string")).alias("url"))
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in later.schema if f.name not in ("url", "title", "language")}
+    load.load_store(users.withColumns({**blank, "title": F.lit("new"), "language": F.lit("en")}), root)
+    n = F.lit(store.newest(spark, root) + 1).cast("int").alias("n_versions")
+    return store.read(spark, root).select("url", "title", n, "language")
 
 
 @query(

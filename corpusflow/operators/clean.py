@@ -4,21 +4,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
+from ..session import sized
 from .dedup import dedup_first, dedup_first_wide
 from .filters import drop_blank, flag_language, is_title_rejected, title_filter
 
 
 def clean(
-    df: DataFrame, order=("ordinal", "pos"), exclude=None, include=None, lists=None, key="url", wide: bool = True
+    df: DataFrame, order=("ordinal", "pos"), exclude=None, include=None, lists=None, key="url", wide: bool = True,
+    once: bool = True,
 ) -> DataFrame:
     """Blank text out, title filter, language flag, keep-first by key; in this order.
 
     The first three are one narrow stage; the last is the only exchange, which
     carries keys instead of texts (see dedup_first_wide; runs a job); languages are
-    flagged after it, for the rows that stay. Without ``wide`` it is lazy, and texts move.
+    flagged after it, for the rows that stay. Keys and rows are two readings of that
+    stage, so it is written to the shared folder ``once``: then whatever computes
+    ``df``, an extraction say, runs a single time, and the first reading takes key
+    columns only. Without ``once`` both read ``df`` itself, which is right for a plain
+    scan. Without ``wide`` all is lazy, and texts move.
     """
     kept = df.transform(drop_blank).transform(title_filter, exclude, include)
     if wide:
+        kept = sized(kept, "narrow") if once else kept
         return kept.transform(dedup_first_wide, key, order).transform(flag_language, lists)
     return kept.transform(flag_language, lists).transform(dedup_first, key, order)
 

@@ -93,9 +93,12 @@ def upsert(
     Updates are reduced to one row per key first. The target is only filtered
     against their keys, so its wide rows are not sorted, and not moved either
     where those keys are small enough to broadcast. ``write_keys`` writes the
-    keys out first, so that Catalyst knows their size (runs a job).
+    keys out first, so that Catalyst knows their size (runs a job). NULL keys count
+    as equal: an update without a key replaces the row without one.
     """
     latest = dedup_last(updates, key, precedence)
-    keys = updates.select(*_keys(key)).distinct()
-    kept = target.join(sized(keys, "keys") if write_keys else keys, _keys(key), "left_anti")
+    keys = updates.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(_keys(key))]).distinct()
+    keys = sized(keys, "keys") if write_keys else keys
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(_keys(key))]
+    kept = target.join(keys, same, "left_anti")
     return kept.unionByName(latest.select(*target.columns))

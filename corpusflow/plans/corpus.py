@@ -13,6 +13,7 @@ from ..functions.links import URL_RULES
 from ..operators.filters import date_range, null_dates_by_source, skip_titles_by_source, url_shapes
 from ..operators.routing import route
 from ..schema import ARTICLE_COLS
+from ..session import sized
 from ..sources.files import parse_posts
 
 
@@ -59,16 +60,18 @@ def selected(frames: list[DataFrame], dim: DataFrame) -> DataFrame:
     return apply_source_rule(articles) if "core_education" in articles.columns else articles
 
 
-def split(routed: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split(routed: DataFrame, dim: DataFrame, once: bool = True) -> tuple[DataFrame, DataFrame]:
     """Training rows as they are, inference rows cleaned per batch.
 
-    Runs a job: the keys that repeat are found before any text is moved.
+    Runs a job: the keys that repeat are found before any text is moved. Three readings
+    are made of the routed rows, so they are written ``once`` (see clean).
     """
+    routed = sized(routed, "routed") if once else routed
     training = routed.filter(F.col("dataset_type") == "training")
     ranked = routed.filter(F.col("dataset_type") == "inference").join(
         dim.select("source", "ordinal"), "source", "left"
     )
     # captures of one page on one day differ by their text at least
     ranked = ranked.withColumn("_capture", F.xxhash64("text"))
-    cleaned = clean(ranked, order=("ordinal", "date", "title", "_capture"), key=("batch", "country", "url"), wide=True)
+    cleaned = clean(ranked, order=("ordinal", "date", "title", "_capture"), key=("batch", "country", "url"), once=False)
     return conform(training), cleaned.select(*ARTICLE_COLS, "batch")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import dedup_last, upsert
 from ..operators.enrich import to_records
+from ..sources import store
 from ..sources.files import tag_files, write_precedence
 
 # Columns that order the writes to one url; the last one settles rows of one file.
@@ -42,3 +43,13 @@ def load(target: DataFrame, records: DataFrame) -> DataFrame:
 
 def initial(records: DataFrame) -> DataFrame:
     return dedup_last(records, "url", PRECEDENCE).drop(*PRECEDENCE)
+
+
+def make_store(records: DataFrame, root: str, buckets: int = store.BUCKETS) -> int:
+    """``initial`` as a bucketed store below ``root``."""
+    return store.create(records, root, "url", PRECEDENCE, buckets)
+
+
+def load_store(records: DataFrame, root: str) -> int:
+    """``load`` into it: only the buckets of the records' urls are rewritten. Returns the version."""
+    return store.apply(records, root, "url", PRECEDENCE)
