@@ -7,7 +7,7 @@ from corpusflow.operators import quality, reports
 from corpusflow.schema import ARTICLE_COLS
 
 from .base import (
-    ARTICLES_SQL, COUNTRY_SQL, ENRICHED_SQL, RUNS_SQL, articles, day, flag, query, runs, table, trim_sql, values_sql,
+    ARTICLES_SQL, COUNTRY_SQL, ENRICHED_SQL, RUNS, RUNS_SQL, articles, day, flag, query, runs, table, trim_sql, values_sql,
 )
 from .filters import CLEAN_SQL, ROUTED_SQL, cleaned, dirty, enriched, language_sql, routed
 
@@ -127,6 +127,38 @@ def weekly_summary(spark, sf):
     return reports.weekly(enriched(spark, sf), runs(spark))
 
 
+# runs without a start, without an end, overlapping ones and an empty one
+OPEN_RUNS = [
+    *RUNS, ("sco", 30, "2026-03-01", None), ("eng", 31, None, "2023-06-30"), ("irl", 32, None, None), ("irl", 33, "2026-01-20", "2026-01-10"),
+]
+OPEN_WINDOWS_SQL = (
+    f"{ENRICHED_SQL}, {COUNTRY_SQL}, open_runs AS (SELECT o.country, CAST(week AS INTEGER) AS week, coalesce(CAST(since AS DATE), start) AS since, "
+    "coalesce(CAST(until AS DATE), DATE '9999-12-31') AS until FROM " + values_sql(OPEN_RUNS, "country, week, since, until").replace("AS t(", "AS o(")
+    + " JOIN countries USING (country)), placed AS (SELECT r.country, r.week, e.doc_id FROM open_runs r LEFT JOIN enriched e "
+    "ON e.country = r.country AND e.date BETWEEN r.since AND r.until)"
+)
+
+
+@query(
+    "weekly_counts_open",
+    f"WITH {OPEN_WINDOWS_SQL} SELECT country, week, count(doc_id) AS n FROM placed WHERE week IS NOT NULL GROUP BY ALL",
+)
+def weekly_counts_open(spark, sf):
+    """Runs that have no end yet count as well; a missing start is the country's."""
+    return reports.weekly_counts(enriched(spark, sf), rules.calendar(spark, OPEN_RUNS), rules.country_dim(spark))
+
+
+@query(
+    "window_coverage_open",
+    f"WITH {OPEN_WINDOWS_SQL}, m AS (SELECT e.doc_id, e.country, e.date, count(r.country) AS n_windows FROM enriched e "
+    "LEFT JOIN open_runs r ON e.country = r.country AND e.date BETWEEN r.since AND r.until GROUP BY ALL) "
+    "SELECT country, CAST(date AS VARCHAR) AS date, count(*) AS n, n_windows FROM m WHERE n_windows <> 1 GROUP BY country, date, n_windows",
+)
+def window_coverage_open(spark, sf):
+    c = reports.coverage(enriched(spark, sf), rules.calendar(spark, OPEN_RUNS), rules.country_dim(spark))
+    return c.select("country", F.col("date").cast("string").alias("date"), "n", "n_windows")
+
+
 @query(
     "retention",
     f"WITH {CLEAN_SQL}, r AS (SELECT source, count(*) AS n_raw FROM dirty GROUP BY source), "

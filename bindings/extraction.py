@@ -11,7 +11,7 @@ from corpusflow.plans import corpus
 from corpusflow.sources.files import flatten_posts, read_pages
 
 from .base import (
-    runs,
+    ORACLE, runs,
     ARTICLE_SQL, DIM_SQL, RANKED, TITLE_SQL, blocks_sql, no_script_sql, plain_sql, query, table, text_sql, trim_sql,
 )
 
@@ -358,6 +358,15 @@ def articles_from_listing(spark, sf):
     return found.select("source", "url", "title", F.col("date").cast("string").alias("date"), F.md5("text").alias("text"))
 
 
+@query("listing_captures", ORACLE["articles_from_listing"])
+def listing_captures(spark, sf):
+    """Every page captured again later, with another text: one article per url all the same."""
+    pages = table(spark, sf, "pages").filter("page_id % 6 <> 0")
+    again = pages.withColumns({"page_id": F.col("page_id") + 10**9, "html": F.lit("<article><p>later</p></article>")})
+    found = corpus.articles_from_listing(listing(spark, sf), again.unionByName(pages), "2024-02-01", "2025-06-30")
+    return found.select("source", "url", "title", F.col("date").cast("string").alias("date"), F.md5("text").alias("text"))
+
+
 @query(
     "gov_corpus",
     "SELECT url, CASE page_id % 4 WHEN 0 THEN 'Ofsted' WHEN 1 THEN 'Department for Education' END AS institution_name, "

@@ -4,12 +4,12 @@ Every report aggregates the articles once, map side first, down to a few rows pe
 source, country, type, day or week; windows, pivots and joins run on those rows.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.text import trim_ws
-from .routing import by_day
+from .routing import windows_of
 
 
 def by_source(df: DataFrame, total: bool = False) -> DataFrame:
@@ -94,19 +94,51 @@ def _per_day(df: DataFrame) -> DataFrame:
     return df.groupBy("country", "date").agg(F.count("*").alias("n"))
 
 
-def weekly_counts(df: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Articles per run window; windows without any count 0."""
-    days = by_day(calendar.filter(F.col("week").isNotNull()))
+# Ends of windows that are open.
+_FIRST, _LAST = "0001-01-01", "9999-12-31"
+
+
+def _closed(calendar: DataFrame, countries: DataFrame | None) -> DataFrame:
+    """Windows with both ends: a missing start is the country's or the first day, a missing end the last.
+
+    A window that ends before it starts is empty.
+    """
+    since = F.coalesce("run_since", F.lit(_FIRST).cast("date"))
+    until = F.greatest(F.coalesce("run_until", F.lit(_LAST).cast("date")), F.date_sub("run_since", 1))
+    return windows_of(calendar, countries).withColumn("run_since", since).withColumn("run_until", until)
+
+
+def _swept(value: str) -> Column:
+    """Running total over a country's days; ``place`` orders the events of one day.
+
+    The line is swept over counts per day and the windows' ends, so its length is that
+    of the calendar however many articles there are, and windows are never spread over days.
+    """
+    line = Window.partitionBy("country").orderBy("date", "place")
+    return F.sum(value).over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
+def weekly_counts(df: DataFrame, calendar: DataFrame, countries: DataFrame | None = None) -> DataFrame:
+    """Articles per run window; windows without any count 0, open ones reach on.
+
+    A window's count is the total of its country up to its end less that before its start.
+    """
+    ends = F.array(
+        F.struct(F.col("run_since").alias("date"), F.lit(0).alias("place"), F.lit(-1).alias("sign")),
+        F.struct(F.col("run_until").alias("date"), F.lit(2).alias("place"), F.lit(1).alias("sign")),
+    )
+    marks = _closed(calendar.filter(F.col("week").isNotNull()), countries).select("country", "week", F.inline(ends))
+    days = _per_day(df.filter(F.col("date").isNotNull())).withColumns({"place": F.lit(1), "sign": F.lit(0)})
+    events = marks.unionByName(days, allowMissingColumns=True).withColumn("n", F.coalesce("n", F.lit(0)))
     return (
-        days.join(_per_day(df), ["country", "date"], "left")
-        .groupBy("country", "week")
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+        events.withColumn("total", _swept("n")).filter("sign <> 0")
+        .groupBy("country", "week").agg(F.sum(F.col("sign") * F.col("total")).alias("n"))
     )
 
 
-def weekly(df: DataFrame, calendar: DataFrame) -> DataFrame:
+def weekly(df: DataFrame, calendar: DataFrame, countries: DataFrame | None = None) -> DataFrame:
     """Smallest, largest and summed weekly count per country."""
-    return weekly_counts(df, calendar).groupBy("country").agg(
+    return weekly_counts(df, calendar, countries).groupBy("country").agg(
         F.count("*").alias("weeks"),
         F.min("n").alias("min_n"),
         F.max("n").alias("max_n"),
@@ -133,18 +165,22 @@ def batch_overlap(df: DataFrame) -> DataFrame:
     )
 
 
-def coverage(df: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Articles on days that lie in no run window, or in more than one.
+def coverage(df: DataFrame, calendar: DataFrame, countries: DataFrame | None = None) -> DataFrame:
+    """Articles on days that lie in no run window, or in more than one; open windows reach on.
 
-    Per country and day: articles are counted per day first, so the calendar
-    meets one row per day rather than one per article.
+    Per country and day: articles are counted per day first, and the number of windows
+    is the running total of those that have started less those that have ended.
     """
-    windows = by_day(calendar).groupBy("country", "date").agg(F.count("*").alias("n_windows"))
+    ends = F.array(
+        F.struct(F.col("run_since").alias("date"), F.lit(1).alias("change")),
+        F.struct(F.date_add("run_until", 1).alias("date"), F.lit(-1).alias("change")),
+    )
+    changes = _closed(calendar, countries).select("country", F.inline(ends)).withColumn("place", F.lit(0))
+    days = _per_day(df.filter(F.col("date").isNotNull())).withColumns({"place": F.lit(1), "change": F.lit(0)})
+    events = days.unionByName(changes, allowMissingColumns=True)
     return (
-        _per_day(df.filter(F.col("date").isNotNull()))
-        .join(windows, ["country", "date"], "left")
-        .withColumn("n_windows", F.coalesce("n_windows", F.lit(0)))
-        .filter(F.col("n_windows") != 1)
+        events.withColumn("n_windows", _swept("change")).filter("place = 1 AND n_windows <> 1")
+        .select("country", "date", "n", "n_windows")
     )
 
 

@@ -17,18 +17,12 @@ def default_since(articles: DataFrame, countries: DataFrame, since=None) -> Data
     return articles.join(starts, "country", "left").filter(inside).drop("start")
 
 
-def by_day(calendar: DataFrame) -> DataFrame:
-    """Calendar with one row per day of each window that has both ends."""
-    closed = calendar.filter(F.col("since").isNotNull() & F.col("until").isNotNull())
-    return closed.withColumn("date", F.explode(F.sequence("since", "until")))
-
-
 def run_id(country: Column, week: Column, until: Column) -> Column:
     """Name of a run: its country and batch."""
     return F.concat(country, F.lit("/"), batch_name(week, until))
 
 
-def _windows(calendar: DataFrame, countries: DataFrame | None) -> DataFrame:
+def windows_of(calendar: DataFrame, countries: DataFrame | None) -> DataFrame:
     """Windows under the names run_since and run_until; a missing start is the country's."""
     if countries is not None:
         calendar = calendar.join(countries.select("country", "start"), "country", "left").withColumn(
@@ -45,7 +39,7 @@ def in_window(articles: DataFrame, calendar: DataFrame, how: str = "inner", coun
     knows its true size: a small calendar is broadcast, a large one is shuffled by
     country with the range tested in the join.
     """
-    windows = _windows(calendar, countries).withColumnRenamed("country", "_country")
+    windows = windows_of(calendar, countries).withColumnRenamed("country", "_country")
     covers = (
         (F.col("country") == F.col("_country"))
         & (F.col("run_since").isNull() | (F.col("date") >= F.col("run_since")))
@@ -93,14 +87,14 @@ def route(
     if "run_id" not in articles.columns:
         return in_window(articles, runs, countries=countries)
     dated = in_window(articles.filter("run_id is null"), runs, countries=countries)
-    windows = _windows(runs, countries)
+    windows = windows_of(runs, countries)
     named = windows.withColumn("run_id", run_id(F.col("country"), F.col("week"), F.col("run_until"))).drop("country")
     return articles.join(named, "run_id").unionByName(dated)
 
 
 def unrouted(articles: DataFrame, calendar: DataFrame, countries=None) -> DataFrame:
     """Articles that no run takes, with a reason: unknown run, no date, or no window."""
-    windows = _windows(calendar, countries)
+    windows = windows_of(calendar, countries)
     with_id = "run_id" in articles.columns
     by_date = articles.filter("run_id is null") if with_id else articles
     late = windows.withColumnRenamed("country", "_country")

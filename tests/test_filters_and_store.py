@@ -191,3 +191,17 @@ def test_posts_fall_back_to_the_feed(spark):
         "u1": ("A – B", "2024-05-01", "page one"), "u2": ("C", "2024-05-01", "feed two"),
         "u4": ("E", "2024-05-01", "Kept"), "u6": ("G", "2024-05-01", ""),
     }
+
+
+def test_one_article_per_url_however_often_captured(spark):
+    listing = spark.createDataFrame([("epi", "u", "listed", day("2024-05-01"), 1, 0)], "source string, url string, title string, date date, page int, pos int")
+    captures = [(3, "u", "third"), (1, "u", "first"), (2, "u", "second"), (1, "u", "first"), (9, "other", "x")]
+    schema = "page_id long, url string, html string"
+    pages = spark.createDataFrame(captures, schema)
+    assert [r.html for r in corpus.one_capture(pages).orderBy("url").collect()] == ["x", "first"]
+    assert [r.html for r in corpus.one_capture(pages.drop("page_id")).filter("url = 'u'").collect()][0] in {"first", "second", "third"}
+    assert corpus.one_capture(pages.drop("page_id")).count() == 2
+    timed = pages.withColumn("captured_at", F.lit("2024-01-05").cast("date") - F.col("page_id").cast("int"))
+    assert corpus.one_capture(timed).filter("url = 'u'").first().html == "third"
+    assert corpus.one_capture(timed, ["page_id"]).filter("url = 'u'").first().html == "first"
+    assert corpus.articles_from_listing(listing, pages).count() <= 1

@@ -66,6 +66,34 @@ def test_coverage_and_weekly(spark):
     assert weekly == {"eng": (2, 0, 2, 2), "sco": (2, 1, 1, 2)}
 
 
+def test_open_windows_count(spark):
+    rows = [("eng", 1, None, "2024-01-01"), ("eng", 2, "2024-01-02", None), ("sco", 1, None, None), ("sco", 2, "2024-01-09", "2024-01-09"),
+            ("irl", 1, None, None), ("eng", 3, "2024-01-05", "2024-01-01"), ("eng", 4, "2030-01-01", None)]
+    runs = rules.calendar(spark, rows)
+    weekly = {(r.country, r.week): r.n for r in reports.weekly_counts(articles(spark), runs).collect()}
+    assert weekly == {("eng", 1): 1, ("eng", 2): 2, ("sco", 1): 1, ("sco", 2): 1, ("irl", 1): 0, ("eng", 3): 0, ("eng", 4): 0}
+    got = {(r.country, str(r.date), r.n, r.n_windows) for r in reports.coverage(articles(spark), runs).collect()}
+    assert got == {("sco", "2024-01-09", 1, 2)}
+    starts = rules.rows_frame(spark, [("eng", "2024-01-02"), ("sco", "2024-01-01"), ("irl", "2024-01-01")], country="STRING", start="DATE")
+    later = {(r.country, r.week): r.n for r in reports.weekly_counts(articles(spark), runs, starts).collect()}
+    assert later["eng", 1] == 0 and later["eng", 2] == 2
+    got = {(r.country, str(r.date), r.n, r.n_windows) for r in reports.coverage(articles(spark), runs, starts).collect()}
+    assert got == {("eng", "2024-01-01", 1, 0), ("sco", "2024-01-09", 1, 2)}
+    assert reports.coverage(articles(spark).filter("false"), runs).collect() == []
+
+
+def test_many_windows_without_spreading_days(spark):
+    many = spark.range(10_000).selectExpr(
+        "'eng' AS country", "cast(id as int) AS week", "date_add(date'2000-01-01', cast(id as int)) AS since",
+        "CASE WHEN id % 10 > 0 THEN date_add(date'2000-01-01', cast(id + 6 as int)) END AS until",
+    )
+    days = spark.range(20_000).selectExpr("'eng' AS country", "date_add(date'1999-01-01', cast(id % 12000 as int)) AS date")
+    counts = reports.weekly_counts(days, many)
+    assert "explode(sequence" not in counts._jdf.queryExecution().toString().lower()
+    plain = many.join(days.withColumnRenamed("country", "c"), F.col("date").between(F.col("since"), F.coalesce("until", F.lit("9999-12-31").cast("date"))))
+    assert counts.agg(F.sum("n")).first()[0] == plain.count() and counts.count() == 10_000
+
+
 def test_empty_frames_give_counts_not_errors(spark):
     none = articles(spark).filter("false")
     checks = {r.check_name: (r.value, r.warn) for r in quality.validate_all(none).collect()}
