@@ -200,6 +200,7 @@ def _remove(threshold: int, keep_text: bool):
     def run(batches):
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
+            own = batch.column("own_id" if "own_id" in batch.schema.names else "doc_id")
             rows = []
             for i, marks in enumerate(batch.column("spans")):
                 text = data[offsets[i] : offsets[i + 1]]
@@ -216,7 +217,7 @@ def _remove(threshold: int, keep_text: bool):
             n_bytes, n_removed, n_spans, digests, kept = zip(*rows, strict=True) if rows else [()] * 5
             out = pa.record_batch(
                 [
-                    batch.column("doc_id"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()),
+                    own, pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()),
                     pa.array(n_spans, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.string()),
                 ],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"],
@@ -244,6 +245,26 @@ def _merged(values: np.ndarray, size: int, threshold: int) -> list[tuple[int, in
     return list(zip(lo[first].tolist(), hi[np.append(first[1:], len(lo)) - 1].tolist(), strict=True))
 
 
+def _told_apart(texts: DataFrame) -> DataFrame:
+    """texts, with ids of their own where one id has different texts: own_id, doc_id in the order of id and text.
+
+    Most inputs have none, and cost one pass that hashes the texts.
+    """
+    rows = texts.withColumn("digest", F.xxhash64("text"))
+    mixed = (
+        rows.filter("doc_id is not null").groupBy("doc_id")
+        .agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low <> high")
+    )
+    if not mixed.take(1):
+        return texts
+    # ranges hold ids in order, and so do the numbers of their rows; written, as another run may cut other ranges
+    pairs = rows.filter("doc_id is not null").select("doc_id", "digest").distinct()
+    ranked = pairs.repartitionByRange("doc_id", "digest").sortWithinPartitions("doc_id", "digest")
+    ranks = stored(ranked.withColumn("rank", F.monotonically_increasing_id()), "ranks")
+    others = [c for c in texts.columns if c != "doc_id"]
+    return rows.join(ranks, ["doc_id", "digest"], "left").select(F.col("rank").alias("doc_id"), F.col("doc_id").alias("own_id"), *others)
+
+
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,
     keep_text: bool = True, carry: bool = False,
@@ -257,12 +278,13 @@ def remove_repeats(
 
     Null text: empty. Empty or short text: kept whole. Null doc_id: kept whole, and
     the source of nothing. Rows repeated with the same doc_id and text are one text,
-    each returned. No rows: no rows. Other columns are ignored, or with carry returned
+    each returned; different texts with the same doc_id are different ones, in the order
+    of a hash. No rows: no rows. Other columns are ignored, or with carry returned
     in a struct named rest. Runs a job.
     """
     if threshold % 4 or threshold > 255:
         raise ValueError("threshold must be a multiple of 4 below 256")
-    texts = documents(docs, id_col, text_col, carry)
+    texts = _told_apart(documents(docs, id_col, text_col, carry))
     first = stored(_rank(texts.select("doc_id", "text").mapInArrow(_cut(threshold // 4, threshold), ITEMS)), "repeats")
     marks = first.filter("span % 2 = 0")
     for length in (threshold // 2, threshold):

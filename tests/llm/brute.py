@@ -96,6 +96,25 @@ def simhash_groups(rows):
     return prints, groups(ids, near)
 
 
+def shingle_set(text):
+    words = (text or "").lower().split()
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def jaccard_groups(rows):
+    """Groups by Jaccard similarities of 0.8 or more, counted over shared shingles."""
+    sets = {i: shingle_set(t) for i, t in with_id(rows)}
+    holders = collections.defaultdict(list)
+    for i, s in sets.items():
+        for x in s or [()]:
+            holders[x].append(i)
+    near = []
+    for a, s in sets.items():
+        both = collections.Counter(b for x in s or [()] for b in holders[x] if b < a)
+        near += [(b, a) for b, n in both.items() if not s or n / (len(s) + len(sets[b]) - n) >= 0.8]
+    return groups(sorted(sets), near)
+
+
 def cosine_groups(rows):
     good = {}
     for i, v, label in rows:

@@ -1,5 +1,7 @@
 """Suffix-array, SimHash and embedding deduplication against plain versions."""
 
+import random
+
 import brute
 import numpy as np
 import pyarrow as pa
@@ -111,3 +113,15 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: min(k, 1 if k < 4 else 5 if k < 10 else 20 if k < 30 else 100) for k in got} and len(got) == 70
     assert forest(np.array([0, 3, 2]), np.array([1, 2, 1]), 5).tolist() == [0, 0, 0, 0, 4]
+
+
+def test_repeats_where_one_id_has_several_texts(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(300))
+    alone, shared, other = word(), word(), word()
+    rows = [(1, shared + "x"), (4, alone), (4, "y" + shared), (4, other), (4, other), (9, other + shared), (None, shared)]
+    out = remove_repeats(brute.frame(spark, rows), carry=True).collect()
+    got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in out)
+    assert got == sorted([(1, 301, 0), (4, 300, 0), (4, 301, 300), (4, 300, 0), (4, 300, 0), (9, 600, 600), (0, 300, 0)])
+    assert {r.kept_text for r in out if r.doc_id == 4} == {alone, "y", other}
+    assert all(r.rest.doc_id == r.doc_id for r in out)
