@@ -11,6 +11,7 @@ file in the whole sequence is a prefix sum over the manifest (a row per file).
 
 import collections
 import functools
+import json
 import os
 import re
 import uuid
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.session import work_folder
 
+from .byte_bpe import byte_letters
 from .common import Memory, documents, stored
 
 KEPT = 300_000  # remembered words for each worker
@@ -31,8 +33,79 @@ OUTPUT_BYTES = 4 << 20
 MANIFEST = "first long, part string, n_docs long, n_tokens long, width int"
 
 
+# Letters and digits of lower-cased Latin-1, and how the vocabulary parts words.
+_LETTERS, _DIGITS, _SPACE = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾", " \\t\\n\\x0b\\x0c\\r"
+_WORDS = f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_DIGITS}]|[^{_SPACE}{_LETTERS}{_DIGITS}]+"
+# characters that are their own normal form, and that lower() treats alike everywhere
+_PLAIN = f"[{_SPACE}!-~¡-ÿ\u2010-\u2027€]*"
+_END = "\x01"  # ends each word on its way to the merges
+SLICE = 1 << 20  # characters parted into words at once
+
+
+class PlainCoder:
+    """Codes of plain Latin texts by compiled merges over the vocabulary file.
+
+    The vocabulary has units of a byte and the end of a word. Written as a byte and a
+    control character they have the lowest ranks, so each is merged first, and a word
+    that ends in that character is merged as the file says.
+    """
+
+    def __init__(self, data: dict, special):
+        import tiktoken
+
+        letters = byte_letters()
+        vocab = data["model"]["vocab"]
+        ends = data["model"]["end_of_word_suffix"]
+        named = {t: i for t, i in vocab.items() if t not in special}
+
+        def raw(token):
+            body = token.removesuffix(ends)
+            return bytes(letters[c] for c in body) + (_END.encode() if body != token else b"")
+
+        self.tool = tiktoken.Encoding("own", pat_str=f"[^{_END}]+{_END}", mergeable_ranks={raw(t): i for t, i in named.items()}, special_tokens={})
+        self.plain, self.words, self.gap = re.compile(_PLAIN).fullmatch, re.compile(_WORDS).findall, re.compile(f"[{_SPACE}]")
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)").search
+
+    @classmethod
+    def of(cls, path: str):
+        """None where the file is of another kind: ranks, word ends and normal forms are as expected here."""
+        with open(path, encoding="utf-8") as f:
+            data = json.load(f)
+        special = [t["content"] for t in data.get("added_tokens") or []]
+        vocab, merges = data["model"].get("vocab"), data["model"].get("merges") or []
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
+        fits = (
+            data["model"].get("end_of_word_suffix")
+            and json.dumps(data["normalizer"]) == _NORMALIZER and _PARTS in json.dumps(data["pre_tokenizer"])
+            and all(vocab[a + b] == 512 + k for k, (a, b) in enumerate(pairs))
+            and {i for t, i in vocab.items() if len(t.removesuffix(data["model"]["end_of_word_suffix"])) == 1} == set(range(512))
+        )
+        return cls(data, special) if fits else None
+
+    def encode(self, text: str, kind) -> bytes | None:
+        """None for a text that is not plain."""
+        if not self.plain(text) or self.special(text):
+            return None
+        out, lo = [], 0
+        while lo < len(text):
+            end = self.gap.search(text, lo + SLICE) if lo + SLICE < len(text) else None
+            hi = end.start() if end else len(text)
+            words = self.words(text[lo:hi].lower())
+            if words:
+                out.append(self.tool.encode_to_numpy(_END.join([*words, ""])).astype(kind).tobytes())
+            lo = hi
+        return b"".join(out)
+
+
+# Settings of the vocabulary file that the plain way relies on.
+_NORMALIZER = json.dumps(
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+)
+_PARTS = json.dumps({"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"})
+
+
 class WordCoder:
-    """The library's codes of white-space separated words, remembered.
+    """The library's codes of white-space separated words, remembered; plain texts go to PlainCoder.
 
     Only for tokenizers that treat white space as a separator and drop it: then the
     code of a text is the codes of its words in a row.
@@ -49,6 +122,7 @@ class WordCoder:
         (self.mark_id,) = self.tool.encode(self.mark, add_special_tokens=False).ids
         self.kind = np.dtype(f"<u{width}")
         self.known = Memory(KEPT)
+        self.quick = PlainCoder.of(path)
 
     def _learn(self, words) -> dict[str, bytes]:
         """Many words in one call, kept apart by a control character with one id; words that hold it go by themselves."""
@@ -65,13 +139,19 @@ class WordCoder:
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        out = [self.quick.encode(t, self.kind) if self.quick else None for t in texts]
+        rest = self.encode_words([t for t, code in zip(texts, out, strict=True) if code is None])
+        return [next(rest) if code is None else code for code in out]
+
+    def encode_words(self, texts: list[str]):
+        """Codes of any texts, word by word."""
         split = re.compile(r"[^ \t\n\r\x0b\x0c]+").findall
         words = [split(t) for t in texts]
         learnt = self._learn(self.known.missing(set().union(*words)))
         long = {w: code for w, code in learnt.items() if len(w) > LONGEST}
         self.known.now |= {w: code for w, code in learnt.items() if len(w) <= LONGEST} if long else learnt
         get = collections.ChainMap(self.known.now, long).__getitem__ if long else self.known.now.__getitem__
-        return [b"".join(map(get, ws)) for ws in words]
+        return iter([b"".join(map(get, ws)) for ws in words])
 
 
 @functools.lru_cache(maxsize=4)
@@ -145,7 +225,7 @@ def write_token_files(
 def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """Documents from the files: doc_id, start (ids before it in all files), n_tokens, ids (binary, uint32).
 
-    Files are memory-mapped where the folder is a local path, read whole otherwise.
+    Counts the manifest to deal its files out. Files are memory-mapped where the folder is a local path, read whole otherwise.
     """
     in_order = Window.orderBy(F.col("first").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     based = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(in_order), F.lit(0)))
@@ -182,4 +262,6 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
                     )
                     lo = hi
 
-    return based.repartition("part").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    # a number, or adaptive execution would put the few rows of the manifest into one task
+    n = max(1, manifest.count())
+    return based.repartition(n, "part").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")

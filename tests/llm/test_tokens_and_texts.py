@@ -227,3 +227,22 @@ def test_toxicity_sample(spark):
     labels = spark.createDataFrame([(1, 1, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
     out = toxicity.score_with_labels(docs.unionAll(spark.createDataFrame([(1, "x")], EMPTY)), labels).select(F.count("*")).first()
     assert out[0] == 1
+
+
+def test_plain_words_as_the_library(monkeypatch):
+    from corpusflow.llm import token_files
+
+    coder = token_files.WordCoder(public_tokenizers.path("word_bpe_49k.json"), 2)
+    rng = random.Random(1)
+    plain = [chr(x) for x in [*b"\t\n\x0b\x0c\r ", *range(33, 127), *range(0xA1, 0x100), *range(0x2010, 0x2028), 0x20AC]]
+    odd = ["\x01", "\x00", "\x85", " ", "中", "é", "İ", "ΑΣ", "<|endoftext|>", "😀", "­"]
+    texts = [f"a{x}1 {x} {x}{x}b  {x}" for x in [*plain, *odd]]
+    texts += ["".join(rng.choice([*plain, "'s", "'ll", " ", *odd][: None if k % 4 == 0 else len(plain)]) for _ in range(rng.randrange(60))) for k in range(4000)]
+    texts += ["", " \n", "x" * 200_000, "it's " * 60_000, " " * 3_000_000]
+    want = [np.array(e.ids, "<u2").tobytes() for e in coder.tool.encode_batch_fast(texts, add_special_tokens=False)]
+    quick = [coder.quick.encode(t, coder.kind) for t in texts]
+    assert all(q is None or q == w for q, w in zip(quick, want, strict=True))
+    assert sum(q is not None for q in quick) > 3000 and quick[len(plain)] is None
+    assert coder.encode(texts) == want
+    monkeypatch.setattr(token_files, "SLICE", 5)
+    assert coder.encode(texts[:-3]) == want[:-3]
