@@ -7,7 +7,7 @@ from corpusflow.functions import html as H
 from corpusflow.functions.text import computed
 from corpusflow.operators import clean as C
 from corpusflow.session import work_folder
-from corpusflow.streaming import ingest
+from corpusflow.streaming import compact, ingest
 
 from .base import TITLE_SQL, WS_SQL, query, table, text_sql, ARTICLE_SQL
 from .extraction import LANGUAGES
@@ -88,6 +88,26 @@ def streamed_upsert(spark, sf):
     return ingest.current_rows(spark.read.parquet(out), "user_id", ("event_id",)).drop("batch_id")
 
 
+@query(
+    "compacted_upsert",
+    "SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events GROUP BY user_id",
+)
+def compacted_upsert(spark, sf):
+    """Seven micro batches, merged twice on the way into runs of two levels."""
+    out, checkpoint = _run(spark, "upsert")
+    landing, root = work_folder(spark, "landing"), work_folder(spark, "runs")
+    events = table(spark, sf, "events").select("user_id", "event_type", "event_id")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    step = (high - low) // 7 + 1
+    for k in range(7):
+        slice_ = events.filter(F.col("event_id").between(low + k * step, low + (k + 1) * step - 1))
+        slice_.coalesce(1).write.mode("append").parquet(landing)
+        if k in (4, 6):
+            ingest.upsert_batches(ingest.landed(spark, landing, events.schema, 1), out, checkpoint, "user_id", ("event_id",))
+            compact.compact(spark, out, root, "user_id", ("event_id",), fanout=2)
+    return compact.current_rows(spark, out, root, "user_id", ("event_id",)).drop("batch_id")
+
+
 @query("streamed_dedup", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS url FROM events")
 def streamed_dedup(spark, sf):
     """Three landings, the last one a backfill of older rows and repeats of known keys."""
