@@ -73,6 +73,20 @@ def training_sink(spark, sf):
     return spark.read.parquet(root).groupBy("country", "source").agg(F.count("*").alias("n"))
 
 
+@query(
+    "training_runs",
+    f"WITH {ROUTED_SQL} SELECT run, country, source, count(*) AS n FROM routed, (VALUES ('first'), ('second')) AS t(run) "
+    "WHERE dataset_type = 'training' AND (run = 'first' OR country = 'eng') GROUP BY ALL",
+)
+def training_runs(spark, sf):
+    """A run appended twice counts once; another one adds its rows."""
+    root = work_folder(spark, "runs")
+    rows = routed(spark, sf).filter(F.col("dataset_type") == "training").select("doc_id", "url", "title", "date", "text", "country", "source")
+    for run, part in (("first", rows), ("second", rows.filter("country = 'eng'")), ("first", rows)):
+        sinks.append_run(part, root, run)
+    return sinks.read_runs(spark, root).groupBy("run", "country", "source").agg(F.count("*").alias("n"))
+
+
 @query(
     "inference_sink",
     f"WITH {ROUTED_SQL} SELECT country, batch, count(*) AS n FROM routed WHERE dataset_type = 'inference' GROUP BY ALL",

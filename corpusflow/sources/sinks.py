@@ -2,10 +2,14 @@
 partition value over several tasks and merges small ones, so a write makes
 neither one huge file nor thousands of tiny ones."""
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.dedup import dedup_last
 from ..operators.routing import batch_name
+from ..rules import rows_frame
 from .files import CSV_OPTIONS
 
 
@@ -18,6 +22,31 @@ def write_training(df: DataFrame, root: str, append: bool) -> None:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
 
 
+def append_run(df: DataFrame, root: str, run: str) -> None:
+    """Add a run's training rows once, however often it is tried.
+
+    Rows go to a folder of their own; a commit record then names it as the run's. A
+    run that is appended again takes the place of its earlier rows, whole: what a
+    reader sees is one committed folder per run, never a part of one. See read_runs.
+    """
+    spark, folder = df.sparkSession, f"r{uuid.uuid4().hex}"
+    df.hint("rebalance", "country", "source").write.partitionBy("country", "source").parquet(f"{root}/data/folder={folder}")
+    record = rows_frame(spark, [(run, folder)], run="STRING", folder="STRING")
+    record.withColumn("committed", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{root}/commits")
+
+
+def read_runs(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of all committed runs, with their run; the last commit of a run holds.
+
+    A run may be empty, but not all of them. The driver reads one record per commit.
+    """
+    commits = dedup_last(spark.read.parquet(f"{root}/commits"), "run", ("committed", "folder")).collect()
+    paths = [f"{root}/data/folder={c.folder}" for c in commits]
+    names = rows_frame(spark, [(c.run, c.folder) for c in commits], run="STRING", folder="STRING")
+    rows = spark.read.option("basePath", f"{root}/data").parquet(*paths)
+    return rows.join(names, "folder").drop("folder")
+
+
 def write_inference(df: DataFrame, root: str) -> None:
     """One folder per (country, batch), from the week and until columns; reruns replace it."""
     named = df.withColumn("batch", batch_name(F.col("week"), F.col("until"))).drop("week", "until")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.session import work_folder
-from corpusflow.sources import store
+from corpusflow.sources import sinks, store
 
 
 def rows(spark, ids, text, at=0):
@@ -69,3 +69,25 @@ def test_keys_of_several_columns(spark):
     store.create(df, root, ("k", "s"), ("at",), buckets=5)
     store.apply(df.filter("v = 11").withColumn("v", F.lit(99)), root, ("k", "s"), ("at",))
     assert sorted(map(tuple, store.read(spark, root).collect())) == [(1, "a", 13), (1, "b", 99), (2, "a", 12)]
+
+
+def test_a_run_is_appended_once(spark):
+    root = work_folder(spark, "runs")
+    df = spark.createDataFrame([("u1", "eng", "gov"), ("u2", "eng", "epi"), ("u3", "sco", "sera")], "url string, country string, source string")
+
+    def held():
+        return sorted((r.run, r.url, r.country, r.source) for r in sinks.read_runs(spark, root).collect())
+
+    sinks.append_run(df, root, "r1")
+    first = held()
+    sinks.append_run(df, root, "r1")
+    assert held() == first and len(first) == 3
+    bad = df.withColumn("url", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.append_run(bad, root, "r1")
+    assert held() == first
+    sinks.append_run(df.filter("country = 'sco'"), root, "it's 2")
+    assert held() == sorted([*first, ("it's 2", "u3", "sco", "sera")])
+    # a rerun with fewer sources leaves nothing of the earlier one
+    sinks.append_run(df.filter("source = 'gov'"), root, "r1")
+    assert held() == [("it's 2", "u3", "sco", "sera"), ("r1", "u1", "eng", "gov")]
