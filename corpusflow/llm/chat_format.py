@@ -146,7 +146,11 @@ def format_records(records: DataFrame, id_col: str, record_col: str, layouts=LAY
 
 
 def digests(formatted: DataFrame, id_col: str) -> DataFrame:
-    """What is read back from formatted texts: turns and the unescaped text under the loss mask."""
+    """What is read back from formatted texts: turns and the unescaped text under the loss mask.
+
+    One row per row. A null text, of a record in an unknown layout, has no turns and no
+    characters; a null mask covers nothing. No rows: no rows.
+    """
     import hashlib
 
     kind = formatted.schema[id_col].dataType

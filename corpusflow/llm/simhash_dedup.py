@@ -45,7 +45,11 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp, the SimHash as a signed long. One pass, no shuffle, whole texts."""
+    """doc_id and fp, the SimHash as a signed long. One pass, no shuffle, whole texts.
+
+    Null, empty and blank texts have fp 0. Rows are kept one for one, repeated or with a
+    null doc_id too. No rows: no rows. Other columns are ignored.
+    """
 
     def run(batches):
         for batch in batches:

@@ -303,7 +303,11 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", limit: float = 0.5) -> DataFrame:
-    """The rows of docs, all columns, whose text scores below ``limit``. One pass, no shuffle."""
+    """The rows of docs, all columns, whose text scores below ``limit``. One pass, no shuffle.
+
+    Null and empty texts score as a text without any toxic word. Each row is judged by
+    its own text, repeated rows and rows with a null or shared id too; no rows: no rows.
+    """
     scored = _scored(docs.sparkSession.sparkContext.broadcast(model))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.col(text_col).alias("text"))
 
@@ -320,7 +324,12 @@ def held_out(id_col: str = "doc_id", of: int = 5) -> F.Column:
 
 
 def score_with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Learn from labelled rows that are not held out; doc_id, held_out, score, predicted. Runs jobs."""
+    """Learn from labelled rows that are not held out; doc_id, held_out, score, predicted. Runs jobs.
+
+    Rows are scored one for one, as score_texts does; held_out is null for a null doc_id,
+    which is not learnt from. Null labels and labels of unknown documents are not used.
+    No rows: no rows. Other columns are ignored.
+    """
     model = train(docs.filter(~held_out()), labels)
     out = score_texts(docs, model)
     return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
