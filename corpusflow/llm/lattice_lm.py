@@ -1,34 +1,36 @@
 """Language-model scores: the marginal probability of a text over all its segmentations.
 
 Units are the pieces of an existing vocabulary, one unit for a character that no
-piece covers, and every training word as a whole. The first weights of the pieces are
-the vocabulary's scores (merge ranks, read by Zipf's law); expected counts over the
-training words, each word once, then replace them (forward-backward, a few rounds). A
-word's probability sums over all its segmentations in log space: those into pieces,
-by forward recursion, and the one edge that spans it, with its count less DISCOUNT.
-What is discounted is the weight of the pieces. A text's probability is the product
-of its words' and of the end's; all texts together have at most one.
-
-Corpus counts cover all words: the most frequent ones, a bounded table, go to the
-workers; each text's other words meet their counts in a shuffled join.
+piece covers, and every training word as a whole. The pieces weigh what the
+vocabulary's scores say: its scores are ranks, read by Zipf's law (first_units),
+fixed and never fitted. A word's lattice probability sums over all its segmentations
+in log space: those into pieces, by forward recursion, and the one edge that spans
+it, with its count less DISCOUNT; what is discounted is the weight of the pieces.
+
+A token's probability mixes the lattice with the add-one base (which gives every
+unknown word one and the same share). The weight of the base is the one of WEIGHTS
+under which the training words, each occurrence left out in turn, are likeliest. A
+text's probability is the product of its tokens'.
+
+Corpus counts cover all words, and each distinct word meets the lattice once: the
+most frequent ones, a bounded table, go to the workers; each text's other words
+meet their probabilities in a shuffled join.
 """
 
 import math
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memory, documents, stored, utf8
+from .common import documents, stored, utf8
 
 FREQUENT = 200_000  # words whose counts are sent to the workers
 DISCOUNT = 0.5  # of each word's count, for the pieces
-ROUNDS = 2
+WEIGHTS = (0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.8, 0.9, 0.95)  # of the base, to choose from
 MARK = "▁"
-KEPT = 150_000  # remembered words for each worker
 BATCH_BYTES = 2 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -121,28 +123,6 @@ class Units:
             out[rows] = forward[:, -1]
         return out
 
-    def expected(self, words: list[str], counts: np.ndarray) -> np.ndarray:
-        """Expected count of each unit, and of the unknown character last, by forward-backward."""
-        total = np.zeros(len(self.strings) + 1)
-        marked = [MARK + w for w in words]
-        for rows, letters in _by_length(marked):
-            edges, n = list(self._edges(letters)), letters.shape[1]
-            forward, backward = np.full((2, len(rows), n + 1), -np.inf)
-            forward[:, 0] = backward[:, n] = 0
-            for i, j, _, weight in edges:
-                forward[:, j] = np.logaddexp(forward[:, j], forward[:, i] + weight)
-            for i, j, _, weight in sorted(edges, key=lambda e: -e[1]):
-                backward[:, i] = np.logaddexp(backward[:, i], backward[:, j] + weight)
-            for i, j, unit, weight in edges:
-                share = counts[rows] * np.exp(forward[:, i] + weight + backward[:, j] - forward[:, n])
-                total += np.bincount(unit % len(total), share, len(total))  # -1 is the last place
-        return total
-
-    def again(self, counts: np.ndarray) -> "Units":
-        """The same units with probabilities from counts; none is left without."""
-        logs = np.log((counts + 0.01) / (counts + 0.01).sum())
-        return Units(self.strings, logs[:-1], logs[-1])
-
 
 def first_units(pieces: list[str]) -> Units:
     """Weights by the rank of the pieces in their vocabulary."""
@@ -163,17 +143,6 @@ def vocabulary_pieces(path: str) -> list[str]:
     return [p for _, _, p in sorted(found)]
 
 
-_MEMORY: dict[str, Memory] = {}
-
-
-def _memory(model: str) -> Memory:
-    """A worker's memory of the words of one model, kept from task to task."""
-    if model not in _MEMORY:
-        _MEMORY.clear()
-        _MEMORY[model] = Memory(KEPT)
-    return _MEMORY[model]
-
-
 def _batches_of_words(batches):
     """(batch, first row, words of each text): A-Z lowered, cut at ASCII white space."""
     for batch in batches:
@@ -217,74 +186,92 @@ def _frequent(counts: DataFrame) -> DataFrame:
     return counts.filter(level >= lowest)
 
 
-def _expected(counts: DataFrame, units: Units) -> np.ndarray:
-    shared = counts.sparkSession.sparkContext.broadcast(units)
+def with_pieces(words: DataFrame, vocabulary: str) -> DataFrame:
+    """Add pieces, the log10 of each word's marginal probability over its segmentations into pieces."""
+    shared = words.sparkSession.sparkContext.broadcast(first_units(vocabulary_pieces(vocabulary)))
 
     def run(batches):
-        total = np.zeros(len(shared.value.strings) + 1)
         for batch in batches:
-            words = [w.decode() for w in batch.column("word").to_pylist()]
-            if words:
-                total += shared.value.expected(words, np.ones(len(words)))
-        some = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(some), pa.array(total[some])], ["unit", "n"])
-
-    # a row for each unit at most: the vocabulary bounds what reaches the driver
-    rows = counts.select("word").mapInArrow(run, "unit long, n double").groupBy("unit").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(len(units.strings) + 1)
-    out[rows.column("unit").to_numpy()] = rows.column("n").to_numpy()
-    shared.unpersist()
-    return out
-
-
-def score_texts(
-    docs: DataFrame, training: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS
-) -> DataFrame:
+            found = shared.value.log_words([w.decode() for w in batch.column("word").to_pylist()])
+            yield pa.record_batch([*batch.columns, pa.array(found / math.log(10))], [*batch.schema.names, "pieces"])
+
+    return words.mapInArrow(run, "word binary, c long, pieces double")
+
+
+class Mixture:
+    """The token probabilities of a model, as columns of a word's count c and its pieces."""
+
+    def __init__(self, words: int, tokens: int, ends: int):
+        self.n, self.v, self.words, self.ends = tokens + ends, words + (ends > 0), words, ends
+        self.weight = 0.0
+
+    def base(self, c) -> Column:
+        return F.log10((c + 1) / F.lit(float(self.n + self.v + 1)))
+
+    def lattice(self, c, out: int = 0) -> Column:
+        """Log10 of whole edge and pieces together; with ``out`` occurrences of the word left out."""
+        if not self.n:
+            return F.col("pieces") + math.log10(0.5)
+        whole = F.greatest(c - F.lit(DISCOUNT), F.lit(0.0)) / F.lit(float(max(1, self.n - out)))
+        return _log_sum(F.col("pieces") + F.lit(math.log10(max(DISCOUNT, DISCOUNT * self.words) / self.n)), F.log10(whole))
+
+    def mixed(self, base: Column, lattice: Column, weight: float) -> Column:
+        if not weight:
+            return lattice
+        return _log_sum(base + math.log10(weight), lattice + math.log10(1 - weight))
+
+    def fit(self, counts: DataFrame) -> None:
+        """Choose the weight of the base by leaving out one occurrence of each training word in turn."""
+        c = F.col("c") - 1
+        parts = counts.select("c", self.base(c).alias("base"), self.lattice(c, 1).alias("lattice"))
+        sums = [F.sum(F.col("c") * self.mixed(F.col("base"), F.col("lattice"), w)) for w in WEIGHTS]
+        found = parts.agg(*sums).first()
+        self.weight = max(zip(found, WEIGHTS, strict=True))[1] if found[0] is not None else 0.0
+
+    def columns(self, c: Column) -> list[Column]:
+        return [self.base(c).alias("base"), self.mixed(self.base(c), self.lattice(c), self.weight).alias("value")]
+
+    def end(self) -> tuple[float, float]:
+        """Log10 of the end's base and mixed probability."""
+        base = (self.ends + 1) / (self.n + self.v + 1)
+        share = self.ends / self.n if self.n else 0.5
+        return math.log10(base), math.log10(self.weight * base + (1 - self.weight) * share)
+
+
+def _log_sum(a: Column, b: Column) -> Column:
+    """Log10 of the sum of two probabilities; the larger is taken out, so that neither vanishes. b may be null."""
+    low, high = F.least(a, b), F.greatest(a, b)
+    return F.when(b.isNull(), a).otherwise(high + F.log10(1 + F.pow(F.lit(10.0), low - high)))
+
+
+def score_texts(docs: DataFrame, training: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Score whole texts by a model learnt from the training texts.
 
     Tokens are words and one end for each text. Returns doc_id, n_tokens, n_known
     (tokens that occur in training), train_tokens, base_score (add-one unigram) and
-    score (the lattice model), both log10 probabilities of the text.
+    score (the model), both log10 probabilities of the text.
 
-    Null or empty text: the end alone. No training rows: all counts are zero, units
-    keep their first weights. Rows are kept one for one, repeated or with a null
-    doc_id too. No rows: no rows. Other columns are ignored. Runs jobs.
+    Null or empty text: the end alone. No training rows: all counts are zero, the
+    score is that of the pieces alone. Rows are kept one for one, repeated or with a
+    null doc_id too. No rows: no rows. Other columns are ignored. Runs jobs.
     """
     spark = docs.sparkSession
     learnt = documents(training, id_col, text_col)
-    counts = stored(count_words(learnt), "words")
+    counts = stored(with_pieces(count_words(learnt), vocabulary), "words")
     words, tokens = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
-    ends = learnt.count()
-    n, v = tokens + ends, words + (ends > 0)
-    top = _frequent(counts).toArrow()
-    frequent = dict(zip(top.column("word").to_pylist(), top.column("c").to_pylist(), strict=True))
-    units = first_units(vocabulary_pieces(vocabulary))
-    for _ in range(rounds if tokens else 0):
-        units = units.again(_expected(counts, units))
-    # weight of the pieces, and of the end; without training they share
-    pieces_share, end_share = (DISCOUNT * words / n, ends / n) if n else (0.5, 0.5)
-    per_token = 1 / max(1, n)
-    below = math.log10(n + v + 1)
-    shared = spark.sparkContext.broadcast((units, {w: (c, math.log10(c + 1) - below) for w, c in frequent.items()}))
-    end_base, end_known, end_score = math.log10(ends + 1) - below, int(ends > 0), math.log10(end_share)
-    log_pieces = math.log10(pieces_share) if pieces_share else -400.0
-    name = uuid.uuid4().hex
+    model = Mixture(words, tokens, learnt.count())
+    if tokens:
+        model.fit(counts)
+    top = _frequent(counts).select("word", *model.columns(F.col("c"))).toArrow()
+    frequent = dict(zip(top.column("word").to_pylist(), zip(*(top.column(k).to_pylist() for k in ("base", "value")), strict=True), strict=True))
+    shared = spark.sparkContext.broadcast(frequent)
+    end_known, (end_base, end_value) = int(model.ends > 0), model.end()
 
     def run(batches):
-        model, table = shared.value
-        memory = _memory(name)
+        table = shared.value
         row = TaskContext.get().partitionId() << 33
         for batch, lo, texts in _batches_of_words(batches):
             ids = batch.column("doc_id").slice(lo, len(texts)).to_pylist()
-            new = memory.missing(set().union(*texts))
-            known = memory.now
-            if new:
-                # log10 by pieces; a frequent word's whole edge is added at once
-                value = model.log_words([w.decode() for w in new]) / math.log(10) + log_pieces
-                whole = np.array([(table[w][0] - DISCOUNT) * per_token if w in table else 0.0 for w in new])
-                with np.errstate(divide="ignore"):
-                    value = np.logaddexp(value * math.log(10), np.log(whole)) / math.log(10)
-                known.update(zip(new, value.tolist(), strict=True))
             out, rare = [], []
             for doc, ws in zip(ids, texts, strict=True):
                 seen = [x for w in ws if (x := table.get(w))]
@@ -293,29 +280,24 @@ def score_texts(
                     for w in ws:
                         if w not in table:
                             tail[w] = tail.get(w, 0) + 1
-                    rare += [(row, w, k, known[w]) for w, k in tail.items()]
-                base = math.fsum([x[1] for x in seen]) + end_base
-                score = math.fsum([known[w] for w in ws if w in table]) + end_score
-                out.append((row, doc, len(ws) + 1, len(seen) + end_known, base, score))
+                    rare += [(row, w, k) for w, k in tail.items()]
+                base, value = (math.fsum([x[k] for x in seen]) for k in (0, 1))
+                out.append((row, doc, len(ws) + 1, len(seen) + end_known, base + end_base, value + end_value))
                 row += 1
             yield _rows(out, rare)
 
     schema = "row long, word binary, times long, doc_id long, n_tokens long, n_known long, base_score double, score double"
     scored = stored(documents(docs, id_col, text_col).mapInArrow(run, schema), "scores")
-    # the larger of both terms is taken out, so that neither vanishes
-    whole = F.log10((F.coalesce("c", F.lit(0)) - DISCOUNT) * per_token)
-    top = F.greatest("pieces", F.when(F.col("c").isNotNull(), whole))
-    both = F.pow(F.lit(10.0), F.col("pieces") - top) + F.coalesce(F.when(F.col("c").isNotNull(), F.pow(F.lit(10.0), whole - top)), F.lit(0.0))
-    log_sum = top + F.log10(both)
+    rare = scored.filter("word is not null").select("row", "word", "times")
+    unknown = rare.select("word").distinct().join(counts, "word", "left_anti").select("word", F.lit(0).cast("long").alias("c"))
+    known = counts.unionAll(with_pieces(unknown, vocabulary)).select("word", "c", *model.columns(F.col("c")))
     tail = (
-        scored.filter("word is not null")
-        .select("row", "word", "times", F.col("score").alias("pieces"))
-        .join(counts, "word", "left")
+        rare.join(known, "word")
         .groupBy("row")
         .agg(
-            F.sum(F.col("times") * (F.log10(F.coalesce("c", F.lit(0)) + 1) - below)).alias("rare_base"),
-            F.sum(F.when(F.col("c").isNotNull(), F.col("times"))).alias("rare_known"),
-            F.sum(F.col("times") * log_sum).alias("rare_score"),
+            F.sum(F.col("times") * F.col("base")).alias("rare_base"),
+            F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
+            F.sum(F.col("times") * F.col("value")).alias("rare_score"),
         )
     )
     return (
@@ -323,7 +305,7 @@ def score_texts(
         .join(tail, "row", "left")
         .select(
             "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-            F.lit(n).cast("long").alias("train_tokens"),
+            F.lit(model.n).cast("long").alias("train_tokens"),
             (F.col("base_score") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
             (F.col("score") + F.coalesce("rare_score", F.lit(0.0))).alias("score"),
         )
@@ -332,14 +314,14 @@ def score_texts(
 
 def _rows(texts: list[tuple], rare: list[tuple]) -> pa.RecordBatch:
     row, doc, tokens, known, base, score = zip(*texts, strict=True) if texts else [()] * 6
-    of, word, times, pieces = zip(*rare, strict=True) if rare else [()] * 4
+    of, word, times = zip(*rare, strict=True) if rare else [()] * 3
     a, b = len(row), len(of)
     return pa.record_batch(
         [
             pa.array([*row, *of], pa.int64()), pa.array([*[None] * a, *word], pa.binary()),
             pa.array([*[None] * a, *times], pa.int64()), pa.array([*doc, *[None] * b], pa.int64()),
             pa.array([*tokens, *[None] * b], pa.int64()), pa.array([*known, *[None] * b], pa.int64()),
-            pa.array([*base, *[None] * b], pa.float64()), pa.array([*score, *pieces], pa.float64()),
+            pa.array([*base, *[None] * b], pa.float64()), pa.array([*score, *[None] * b], pa.float64()),
         ],
         ["row", "word", "times", "doc_id", "n_tokens", "n_known", "base_score", "score"],
     )

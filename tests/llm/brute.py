@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -165,5 +166,37 @@ def unigram(rows, learnt):
     ]
 
 
+def by_pieces(word, path):
+    """Probability of a word: the sum over every way to cut it, each written out."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    plain = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    ranked = sorted(plain, key=lambda i: (-model.get_score(i), i))
+    zipf = {model.id_to_piece(i): 1 / (at + 10) for at, i in enumerate(ranked)}
+    total, text, out = sum(zipf.values()), "▁" + word, 0.0
+    for cuts in itertools.product([0, 1], repeat=len(text) - 1):
+        ends = [k + 1 for k, cut in enumerate(cuts) if cut] + [len(text)]
+        p = 1.0
+        for a, b in zip([0, *ends], ends):
+            piece = text[a:b]
+            p *= 0.99 * zipf[piece] / total if piece in zipf else 0.01 / 256 ** len(piece.encode()) if b == a + 1 else 0
+        out += p
+    return out
+
+
+def lattice_scores(texts, learnt, path):
+    split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", lower(t))
+    counts = collections.Counter(w for t in learnt for w in split(t))
+    n, v = sum(counts.values()) + len(learnt), len(counts) + 1
+    base = lambda c: (c + 1) / (n + v + 1)
+    memo = {w: by_pieces(w, path) * 0.5 * len(counts) / n for t in [*texts, *learnt] for w in split(t)}
+    lattice = lambda w, c, out=0: memo[w] + max(c - 0.5, 0) / (n - out)
+    fit = lambda m: sum(c * math.log10(m * base(c - 1) + (1 - m) * lattice(w, c - 1, 1)) for w, c in counts.items())
+    m = max((0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.8, 0.9, 0.95), key=fit)
+    end = math.log10(m * base(len(learnt)) + (1 - m) * len(learnt) / n)
+    return [sum(math.log10(m * base(counts[w]) + (1 - m) * lattice(w, counts[w])) for w in split(t)) + end for t in texts]
+
+
 def held_out(doc_id, of):
     return zlib.crc32(str(doc_id).encode()) % of

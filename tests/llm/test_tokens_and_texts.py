@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import random
 import struct
 import zlib
@@ -178,10 +179,10 @@ def test_scores_and_their_base(spark, rows):
 
 def test_rare_words_meet_their_counts(spark, rows, monkeypatch):
     df = brute.frame(spark, rows)
-    whole = sum(r.score for r in lattice_lm.score_texts(df, df, PIECES, rounds=0).collect())
+    whole = sum(r.score for r in lattice_lm.score_texts(df, df, PIECES).collect())
     monkeypatch.setattr(lattice_lm, "FREQUENT", 50)
     n, want = brute.unigram(rows, rows)
-    got = lattice_lm.score_texts(df, df, PIECES, rounds=0).collect()
+    got = lattice_lm.score_texts(df, df, PIECES).collect()
     # whether a word is sent to the workers or joined makes no difference
     assert abs(sum(r.score for r in got) - whole) < 1e-6 * abs(whole)
     assert abs(sum(r.base_score for r in got) - sum(w[3] for w in want)) < 1e-3
@@ -189,13 +190,25 @@ def test_rare_words_meet_their_counts(spark, rows, monkeypatch):
 
 
 def test_lattice_sums_over_segmentations():
-    import math
-
     units = lattice_lm.Units(["▁a", "▁", "a", "b", "ab", "▁ab"], [math.log(x) for x in (0.2, 0.1, 0.1, 0.1, 0.2, 0.1)], math.log(0.1))
     want = 0.2 * 0.1 + 0.1 * 0.1 * 0.1 + 0.1 * 0.2 + 0.1
     assert abs(units.log_words(["ab"])[0] - math.log(want)) < 1e-9
     assert units.log_words(["é"])[0] == pytest.approx(math.log(0.1) + math.log(0.1) - 2 * math.log(256))
-    assert units.expected(["ab"], np.array([3.0]))[5] == pytest.approx(3 * 0.1 / want)
+
+
+def test_scores_by_brute_force(spark):
+    texts = ["the cat sat", "the cat", "a cat 猫", "the", "", None, "unseen cat sits é"]
+    learnt = list(enumerate(texts[:5]))
+    got = lattice_lm.score_texts(
+        spark.createDataFrame(list(enumerate(texts)), EMPTY), spark.createDataFrame(learnt, EMPTY), PIECES
+    )
+    want = brute.lattice_scores(texts, [t for _, t in learnt], PIECES)
+    for r in got.collect():
+        assert r.score == pytest.approx(want[r.doc_id], rel=1e-9), texts[r.doc_id]
+    # without training the pieces alone give the score
+    alone = lattice_lm.score_texts(spark.createDataFrame([(0, "cat")], EMPTY), spark.createDataFrame([], EMPTY), PIECES).first()
+    assert alone.score == pytest.approx(math.log10(0.5) * 2 + math.log10(brute.by_pieces("cat", PIECES)), rel=1e-9)
+    assert (alone.n_known, alone.train_tokens) == (0, 0)
 
 
 def test_toxicity_on_held_out_texts(spark):
