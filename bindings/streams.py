@@ -7,7 +7,7 @@ from corpusflow.functions import html as H
 from corpusflow.functions.text import computed
 from corpusflow.operators import clean as C
 from corpusflow.session import work_folder
-from corpusflow.streaming import compact, ingest
+from corpusflow.streaming import compact, ingest, keys, weeks
 
 from .base import TITLE_SQL, WS_SQL, query, table, text_sql, ARTICLE_SQL
 from .extraction import LANGUAGES
@@ -121,3 +121,42 @@ def streamed_dedup(spark, sf):
         events.filter(landed).write.mode("append").parquet(landing)
         ingest.write_deduped(ingest.landed(spark, landing, events.schema), out, checkpoint, "url", ("ts", "event_id"))
     return spark.read.parquet(out).select("url")
+
+
+@query("indexed_dedup", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS url FROM events")
+def indexed_dedup(spark, sf):
+    """The three landings of streamed_dedup against the bucketed index of written keys."""
+    out, checkpoint = _run(spark, "dedup")
+    landing, index = work_folder(spark, "landing"), work_folder(spark, "index")
+    events = table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("url"), "event_id", F.col("ts").cast("timestamp").alias("ts")
+    )
+    days = F.dayofmonth("ts")
+    for landed in (days.between(11, 20), days > 20, days <= 10):
+        events.filter(landed).write.mode("append").parquet(landing)
+        keys.write_deduped(ingest.landed(spark, landing, events.schema), out, index, checkpoint, "url", ("ts", "event_id"), 16)
+    return spark.read.parquet(out).select("url")
+
+
+@query(
+    "weekly_corrections",
+    "WITH e AS (SELECT event_type, CAST(ts AS TIMESTAMP) AS ts, CASE WHEN day(ts) BETWEEN 11 AND 20 THEN 0 WHEN day(ts) > 20 THEN 1 ELSE 2 END AS landing, "
+    "time_bucket(INTERVAL '7 days', CAST(ts AS TIMESTAMP), TIMESTAMP '1970-01-02') AS week FROM events), "
+    "m AS (SELECT landing, max(max(ts)) OVER (ORDER BY landing ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL '7 days' AS closed_to FROM e GROUP BY landing), "
+    "t AS (SELECT max(ts) - INTERVAL '7 days' AS closed_to FROM e) "
+    "SELECT strftime(week, '%Y-%m-%d') AS week_start, event_type, count(*) AS n, "
+    "count(*) FILTER (WHERE week + INTERVAL '7 days' <= m.closed_to) AS n_late, "
+    "week + INTERVAL '7 days' <= any_value(t.closed_to) AS closed "
+    "FROM e JOIN m USING (landing), t GROUP BY week, event_type",
+)
+def weekly_corrections(spark, sf):
+    """Weekly counts over three landings; rows for weeks that are closed by then are corrections."""
+    out, checkpoint = _run(spark, "weeks")
+    landing = work_folder(spark, "landing")
+    events = table(spark, sf, "events").select("event_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    days = F.dayofmonth("ts")
+    for landed in (days.between(11, 20), days > 20, days <= 10):
+        events.filter(landed).write.mode("append").parquet(landing)
+        weeks.write_weekly_increments(ingest.landed(spark, landing, events.schema), out, checkpoint, "ts", ("event_type",))
+    total = weeks.weekly_totals(spark.read.parquet(out), ("event_type",))
+    return total.withColumn("week_start", F.col("week_start").cast("string"))
