@@ -6,7 +6,7 @@ from corpusflow import rules
 from corpusflow.operators import dedup, enrich
 from corpusflow.plans import corpus, load
 from corpusflow.session import work_folder
-from corpusflow.sources import files, sinks, store
+from corpusflow.sources import files, sinks, split_csv, store
 
 from .base import ENRICHED_SQL, articles, query, runs, table
 from .filters import ROUTED_SQL, enriched, rejected_sql, routed
@@ -14,21 +14,34 @@ from .filters import ROUTED_SQL, enriched, rejected_sql, routed
 DEFAULT_REJECTED = rejected_sql("title", rules.TITLE_EXCLUDE, rules.TITLE_INCLUDE)
 
 
-@query(
-    "article_csv",
-    f"WITH {ENRICHED_SQL} SELECT url, md5(title) AS title, CAST(date AS VARCHAR) AS date, md5(text) AS text, source, country, type, institution_name FROM enriched",
-)
-def article_csv(spark, sf):
+ARTICLE_CSV_SQL = f"WITH {ENRICHED_SQL} SELECT url, md5(title) AS title, CAST(date AS VARCHAR) AS date, md5(text) AS text, source, country, type, institution_name FROM enriched"
+
+
+def written_csv(spark, sf, **options):
     folder = work_folder(spark, "csv")
     full = enriched(spark, sf).withColumn("language", F.lit("en"))
-    sinks.write_articles_csv(enrich.conform(full), folder, rows_per_file=500)
-    back = files.read_articles_csv(spark, folder)
+    sinks.write_articles_csv(enrich.conform(full), folder, **options)
+    return folder
+
+
+def csv_digest(back):
     return back.select(
         "url", F.md5("title").alias("title"), F.col("date").cast("string").alias("date"), F.md5("text").alias("text"),
         "source", "country", "type", "institution_name",
     )
 
 
+@query("article_csv", ARTICLE_CSV_SQL)
+def article_csv(spark, sf):
+    return csv_digest(files.read_articles_csv(spark, written_csv(spark, sf, rows_per_file=500)))
+
+
+@query("article_csv_split", ARTICLE_CSV_SQL)
+def article_csv_split(spark, sf):
+    """Files of any size, read in byte ranges."""
+    return csv_digest(split_csv.read_articles_csv_split(spark, written_csv(spark, sf)))
+
+
 def named_files(spark, sf):
     """Articles with the name of the file they would come from."""
     a = enriched(spark, sf)

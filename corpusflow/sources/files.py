@@ -24,8 +24,8 @@ CSV_OPTIONS = {
 def read_articles_csv(spark: SparkSession, path: str, schema=ARTICLE) -> DataFrame:
     """Article CSV files with their file_name.
 
-    A file with multi-line text cannot be split, so it is one task; keep the
-    files small (write_articles_csv bounds their rows) or land them as Parquet.
+    A file with multi-line text is one task here: keep the files small
+    (write_articles_csv bounds their rows), or use read_articles_csv_split.
     """
     return (
         spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
