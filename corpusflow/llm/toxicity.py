@@ -8,7 +8,8 @@ inflections of an insult stay close to it.
 
 Training takes a bounded, deterministic sample of labelled texts. A toxic text is a
 bag of words of which at least one, its witness, is toxic; no word of a clean text
-is. Witnesses, landmarks, hard negatives and the machine are fitted in turn. The
+is, but for words that toxic texts hold so much oftener that the clean labels must be
+wrong. Witnesses, landmarks, hard negatives and the machine are fitted in turn. The
 kernel has finitely many features, so landmarks and weights fold into one table of
 subsequence weights of fixed size, which is what the workers get. A text's score is
 a logistic function of its most toxic word.
@@ -16,6 +17,7 @@ a logistic function of its most toxic word.
 
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +36,7 @@ TOXIC_TEXTS, CLEAN_TEXTS, TEXT_CHARS = 3000, 3000, 8000
 NEGATIVES, HARD, ROUNDS = 12_000, 3_000, 3
 SPECTRUM, RIDGE = 0.02, 1.0  # least eigenvalue of the landmark kernel, weight of the norm
 STEM, SUPPORT = 4, 4  # letters of a stem, toxic texts that must share it
+WRONG = 0.05  # clean texts with a word, as a share of the toxic ones, up to which their labels count as wrong
 SLOPE = 12.0
 LEAST = 3  # letters of a scored word
 FLOOR = 0.25  # similarities below count as none
@@ -196,14 +199,21 @@ def _witnesses(bags: list[set[str]], clean: list[set[str]]) -> list[str]:
     return sorted(chosen, key=lambda w: (-support[w], w))
 
 
+def _mislabelled(toxic: list[set[str]], clean: list[set[str]]) -> set[str]:
+    """Words of clean texts that so few of them hold, against toxic ones, that their labels must be wrong."""
+    n = Counter(w for words in toxic for w in words)
+    m = Counter(w for words in clean for w in words)
+    return {w for w, k in m.items() if n[w] >= SUPPORT and k <= WRONG * n[w]}
+
+
 def fit(toxic: list[set[str]], clean: list[set[str]], seed: int = 3) -> Model:
     """Fit on the word sets of labelled texts. Without both labels, all texts score as the label there is."""
     none = np.zeros(LETTERS**3)
     if not toxic or not clean:
         return Model(none, 1.0, -30.0 if toxic else 30.0)
     rng = np.random.default_rng(seed)
-    clean_words = sorted(set().union(*clean))
-    innocent = set(clean_words)
+    innocent = set().union(*clean) - _mislabelled(toxic, clean)
+    clean_words = sorted(innocent)
     # near copies of one toxic text count once: same smallest word among those of toxic texts only
     bags = list({min(odd, key=hash_of): s for s in toxic if (odd := s - innocent)}.values())
     positive = [w for w in _witnesses(bags, clean) if w not in innocent] if bags else []
