@@ -198,18 +198,5 @@ def lattice_scores(texts, learnt, path):
     return [sum(math.log10(m * base(counts[w]) + (1 - m) * lattice(w, counts[w])) for w in split(t)) + end for t in texts]
 
 
-def letters(word):
-    return re.sub(r"[\W\d_]+", "", word)
-
-
-def subsequences(word, reach, decay):
-    """Weight of each three-letter subsequence of a word with its start and end, gaps decayed."""
-    text, out = ["<", *letters(word), ">"], collections.Counter()
-    for i, j, k in itertools.combinations(range(len(text)), 3):
-        if j - i <= reach and k - j <= reach:
-            out[text[i], text[j], text[k]] += decay ** (k - i - 2)
-    return out
-
-
 def held_out(doc_id, of):
     return zlib.crc32(str(doc_id).encode()) % of

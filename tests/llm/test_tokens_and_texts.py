@@ -235,33 +235,6 @@ def test_toxicity_odd_rows(spark, rows):
     assert toxicity.score_texts(spark.createDataFrame([], EMPTY), model).count() == 0
 
 
-def test_a_wrong_label_changes_nothing():
-    toxic = [{"the", "grumbolt", f"other{k}"} for k in range(30)]
-    clean = [{"the", "house", f"word{k}"} for k in range(30)]
-    for texts in (clean, [*clean, {"the", "grumbolt", "house"}]):
-        model = toxicity.fit(toxic, texts)
-        scores = model.score(model.similarities(["grumbolt", "grum-bolt", "house", "the"]))
-        assert (scores[:2] > 0.5).all() and (scores[2:] < 0.5).all()
-
-
-def test_kernel_by_brute_force():
-    words = ["idiot", "i-d1iot", "idxiot", "a", "", "ärger", "idiotidiot"]
-    word, feature, value, norm = toxicity._sparse(words)
-    for k, text in enumerate(words):
-        want = brute.subsequences(text, toxicity.REACH, toxicity.DECAY)
-        got = sorted(value[word == k].tolist())
-        assert got == pytest.approx(sorted(want.values()))
-        assert norm[k] == pytest.approx(math.sqrt(sum(x * x for x in want.values())) or 1)
-    # a folded table of weights gives the sum over all subsequences
-    rng = np.random.default_rng(1)
-    model = toxicity.Model(rng.random(toxicity.LETTERS**3), 1.0, 0.0)
-    for k, got in enumerate(model.similarities(words)):
-        mine = word == k
-        direct = float((model.weights[feature[mine]] * value[mine]).sum() / norm[k])
-        short = len(brute.letters(words[k])) < toxicity.LEAST
-        assert got == pytest.approx(0 if short or direct < toxicity.FLOOR else direct)
-
-
 def test_toxicity_sample(spark):
     docs = spark.createDataFrame([], EMPTY)
     labels = spark.createDataFrame([(1, 1, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
