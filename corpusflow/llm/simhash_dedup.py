@@ -36,11 +36,19 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
     lo = [0, *ends[: n - 1].tolist()]
     hi = (ends[min(size, len(words)) - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    counts = np.zeros(64, np.int64)
-    for at in range(0, n, HASHED):
-        hashes = [digest(joined[a:b], SEED) for a, b in zip(lo[at : at + HASHED], hi[at : at + HASHED], strict=True)]
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8), bitorder="little")
+    return majority(
+        np.array([digest(joined[a:b], SEED) for a, b in zip(lo[at : at + HASHED], hi[at : at + HASHED], strict=True)], "<u8")
+        for at in range(0, n, HASHED)
+    )
+
+
+def majority(parts) -> int:
+    """The SimHash of hashes given in arrays: bits set in over half of them, zero for none."""
+    counts, n = np.zeros(64, np.int64), 0
+    for hashes in parts:
+        bits = np.unpackbits(hashes.astype("<u8", copy=False).view(np.uint8), bitorder="little")
         counts += bits.reshape(-1, 64).sum(0, dtype=np.int64)
+        n += len(hashes)
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
@@ -65,7 +73,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 class BKForest:
     """BK-trees of many groups at once: children keyed by their distance to the parent.
 
-    A node's children are rows of ``edges`` (node * 65 + distance), sorted.
+    A node's children are rows of ``edges`` (node * 65 + distance), sorted. ``closest`` is,
+    for each value, the nearest of the nodes that it met on its way down (a root: itself),
+    ``apart`` the bits in which they differ.
     """
 
     def __init__(self, values: np.ndarray, group: np.ndarray):
@@ -74,10 +84,14 @@ class BKForest:
         self.groups, self.roots = group[first], first
         at = first[inverse]
         left = np.flatnonzero(at != np.arange(len(values)))
+        self.closest, self.apart = at.copy(), np.zeros(len(values), np.int64)
+        self.apart[left] = 65
         at = at[left]
         keys, children = [], []
         while len(left):
             distance = np.bitwise_count(values[left] ^ values[at]).astype(np.int64)
+            nearer = distance < self.apart[left]
+            self.closest[left[nearer]], self.apart[left[nearer]] = at[nearer], distance[nearer]
             key, first, inverse = np.unique(at * 65 + distance, return_index=True, return_inverse=True)
             keys.append(key)
             children.append(left[first])
